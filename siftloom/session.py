@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,19 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that cross to Python at once: whole texts are long, so few.
+ARROW_ROWS = "512"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, and Python workers on this machine import the package from where the driver did."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parent.parent)
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
