@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siftloom.llm import op1_language, op2_secrets, op4_mixing, op5_toxicity, op7_fingerprints, op8_packing, op9_token_files, op10_media
+from siftloom.llm import op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op7_fingerprints, op8_packing, op9_token_files, op10_media
 
-MODULES: list = [op1_language, op2_secrets, op4_mixing, op5_toxicity, op7_fingerprints, op8_packing, op9_token_files, op10_media]
+MODULES: list = [op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op7_fingerprints, op8_packing, op9_token_files, op10_media]
 
 
 def queries() -> dict:
