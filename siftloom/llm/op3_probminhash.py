@@ -159,7 +159,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, class_id, class_size, kept) for each row of ``docs``.
+    """(key, name, class_id, class_size, kept) for each row of ``docs``; name is the md5 of the text.
 
     A class holds rows with equal texts and all that links of similarity SIMILAR or more join; class_id is its
     smallest key, and one row, of that key, is kept. Null texts count as empty; empty texts, and texts without
@@ -223,15 +223,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             break
         low, high = high, PIVOTS[1] if low == 0 else high * MORE_PIVOTS
     joined = nodes.join(labels, nodes.node == labels.id, "left").select("name", F.coalesce("component", "node").alias("part"))
-    named = stored.select("key", "row", "name").join(joined, "name").select("key", "row", "part")
+    named = stored.select("key", "row", "name").join(joined, "name").select("key", "name", "row", "part")
     classes = named.groupBy("part").agg(F.min(F.struct("key", "row")).alias("first"), F.count("*").alias("class_size"))
     return named.join(classes, "part").select(
-        F.col("key").alias(key), F.col("first.key").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept")
+        F.col("key").alias(key), "name", F.col("first.key").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept")
     )
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
 QUERIES = {"op3_near_duplicates": op3_near_duplicates}
