@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from siftloom.plans import items, names
+
+MODULES: list = [items, names]
+ENTRY = items.captions
 
 
 def queries() -> dict:
