@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -11,78 +12,116 @@ REMEMBERED = 500_000
 #: Characters of texts that are cut into words at once.
 SOME = 1_000_000
 
-#: White space that Python and the tokenizers' patterns take alike only inside one word: such texts are encoded as a whole.
-_ODD_FOR_BYTES = re.compile(r"[^\S \n]|[\x1c-\x1f]|  | \n|\n | $|\n\n|\n$|^ |^\n")
-_ODD_FOR_WORDS = re.compile(r"[\x1c-\x1f]")
+#: Separators that Python takes for white space and the tokenizers don't.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _SPECIAL = "<|"
-
-
-class WordMemory(dict):
-    """word -> bytes of its ids (little-endian unsigned)."""
-
-    def __init__(self, tokenizer, width: str, before: str = "") -> None:
-        super().__init__()
-        self.tokenizer, self.width, self.before = tokenizer, width, before
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(self.before + word, add_special_tokens=False).ids
-        out = self[word] = np.array(ids, dtype=self.width).tobytes()
-        return out
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes the words not yet known at once."""
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) + len(new) > REMEMBERED:
-                self.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([self.before + w for w in new], add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, dtype=self.width).tobytes()
+#: A word that ends in punctuation: what stands before, up to a letter or digit, and the punctuation.
+_TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.DOTALL)
+#: Words that are encoded as one text, and the byte that parts them there.
+JOINED, PART = 2000, "\x00"
 
 
 class FastTokenizer:
-    """The ids of ``tokenizers`` for whole texts, as bytes of ``width`` numbers.
+    """The ids of ``tokenizers`` for whole texts, as bytes of little-endian numbers of ``width``.
 
-    Both vocabularies cut texts at white space before anything else, so a text's ids are its words' ids
-    in a row. Texts in which a cut could fall elsewhere are given to the tokenizer whole.
+    Both kinds of vocabulary cut texts at white space before anything else, so a text's ids are its words'
+    ids in a row. Texts in which a cut could fall elsewhere are given to the tokenizer whole.
     Special tokens in a text count as ordinary text.
     """
 
     def __init__(self, path: str, width: str = "<u4") -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel parts
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = width
-        #: Byte-level vocabularies keep the space before a word as part of it.
+        #: Byte-level vocabularies keep the space before a word as part of it; the others have no upper case.
         self.keeps_space = self.tokenizer.normalizer is None
-        self.first = WordMemory(self.tokenizer, width)
-        self.spaced = WordMemory(self.tokenizer, width, " ")
+        (self.part_id,) = self.tokenizer.encode(PART, add_special_tokens=False).ids
+        self.newline = self.whole("\n")
+        #: Ids of words as they are met (those that begin a line with the line's end), of words after a space, of words after none.
+        self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
 
-    def cut(self, text: str) -> list[list[str]] | None:
-        """Words of each line (of the whole text, if lines don't count); None if the text must be encoded whole."""
+    def words(self, text: str) -> list[str] | None:
+        """The text's words; None if it must be encoded whole."""
+        if _SPECIAL in text or any(c in text for c in _SEPARATORS):
+            return None
+        words = text.split()
         if not self.keeps_space:
-            return None if _SPECIAL in text or _ODD_FOR_WORDS.search(text) else [text.split()]
-        return None if _SPECIAL in text or _ODD_FOR_BYTES.search(text) else [line.split(" ") for line in text.split("\n")]
+            return words
+        # single spaces and line ends alone part words; if anything else does, there are not as many
+        pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        return pieces if len(pieces) == len(words) else None
+
+    def encode_joined(self, words: set[str], known: dict[str, bytes], space: str) -> None:
+        """Ids of words, many as one text, joined by a byte that no word holds, whose id parts them again."""
+        # what follows an apostrophe is cut in another way right after the parting byte: such words are encoded alone
+        alone = {w for w in words if PART in w or w[:1] == "'"}
+        for w in alone:
+            known[w] = self.whole(space + w)
+        new = list(words - alone)
+        part = f"{PART}{space}" if self.keeps_space else f" {PART} "
+        for at in range(0, len(new), JOINED):
+            some = new[at : at + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([space + part.join(some)], add_special_tokens=False)[0].ids, dtype=self.width)
+            ends = np.flatnonzero(ids == self.part_id)
+            if len(ends) != len(some) - 1:
+                raise ValueError("words and ids don't match")
+            size, data = ids.itemsize, ids.tobytes()
+            for w, a, b in zip(some, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)], strict=True):
+                known[w] = data[a * size : b * size]
+
+    def learn(self, words: set[str]) -> None:
+        """Puts words into memory. Punctuation at a word's end is cut off before anything else, so it is encoded apart."""
+        if len(self.known) + len(words) > REMEMBERED:
+            for memory in (self.known, self.spaced, self.bare):
+                memory.clear()
+        made: list[tuple[str, bool, str, str]] = []
+        need: tuple[set[str], set[str]] = (set(), set())
+        memories = (self.bare, self.spaced)
+        for w in words:
+            after_space = self.keeps_space and w[:1] != "\n"
+            word = w if after_space or not self.keeps_space else w[1:]
+            m = _TAIL.fullmatch(word)
+            stem, tail = m.groups() if m else (word, "")
+            if not self.keeps_space and stem.isascii():
+                stem = stem.lower()
+            if stem not in memories[after_space]:
+                need[after_space].add(stem)
+            if tail and tail not in self.bare:
+                need[0].add(tail)
+            made.append((w, after_space, stem, tail))
+        self.encode_joined(need[0], self.bare, "")
+        self.encode_joined(need[1], self.spaced, " ")
+        for w, after_space, stem, tail in made:
+            ids = memories[after_space][stem] + (self.bare[tail] if tail else b"")
+            self.known[w] = ids if after_space or not self.keeps_space else self.newline + ids
 
     def encode_some(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.cut(t) if t else [] for t in texts]
-        if self.keeps_space:
-            self.first.learn(["\n", *(line[0] for c in cuts if c for line in c)])
-            self.spaced.learn([w for c in cuts if c for line in c for w in line[1:]])
-        else:
-            self.first.learn([w for c in cuts if c for line in c for w in line])
-        first, spaced, out = self.first.__getitem__, self.spaced.__getitem__, []
-        for text, c in zip(texts, cuts, strict=True):
-            if c is None:
+        get, rows, missing = self.known.get, [], set()
+        for text in texts:
+            words = self.words(text) if text else []
+            ids = list(map(get, words)) if words is not None else None
+            gaps = [i for i, x in enumerate(ids) if x is None] if ids and None in ids else []
+            missing.update([words[i] for i in gaps])
+            rows.append((text, words, ids, gaps))
+        self.learn(missing)
+        out = []
+        for text, words, ids, gaps in rows:
+            if ids is None:
                 out.append(self.whole(text))
-            elif not self.keeps_space:
-                out.append(b"".join(map(first, c[0])) if c else b"")
-            else:
-                out.append(first("\n").join([first(line[0]) + b"".join(map(spaced, line[1:])) for line in c]) if c else b"")
+                continue
+            for i in gaps:
+                ids[i] = self.known[words[i]]
+            data = b"".join(ids)
+            # the first word counts as the beginning of a line
+            out.append(data[len(self.newline) :] if self.keeps_space else data)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
