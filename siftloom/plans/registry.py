@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siftloom.plans import items, names
+from siftloom.plans import items, names, vectors
 
-MODULES: list = [items, names]
+MODULES: list = [items, names, vectors]
 ENTRY = items.captions
 
 
