@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siftloom.plans import items, names, vectors
+from siftloom.plans import items, names, selection, vectors
 
-MODULES: list = [items, names, vectors]
+MODULES: list = [items, names, vectors, selection]
 ENTRY = items.captions
 
 
