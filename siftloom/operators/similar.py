@@ -96,7 +96,8 @@ def keep_first(items: DataFrame, edges: DataFrame, item: str = "item", rounds: i
         state = materialize(state.join(seen, state["item"] == seen["dst"], "left").select("item", new.alias("state")), "state")
         if state.where("state = 0").isEmpty():
             return state.where("state = 1").select(F.col("item").alias(item))
-    open_rows = state.where("state = 0").select("item")
+    lost = edges.join(state.where("state = 1").select(F.col("item").alias("src")), "src").select(F.col("dst").alias("item")).distinct()
+    open_rows = materialize(state.where("state = 0").select("item").join(lost, "item", "left_anti"), "open")
     inner = edges.join(open_rows.withColumnRenamed("item", "src"), "src").join(open_rows.withColumnRenamed("item", "dst"), "dst").select("src", "dst")
     parts = connected_components(inner)
     kind = items.schema[item].dataType.simpleString()
@@ -111,5 +112,6 @@ def keep_first(items: DataFrame, edges: DataFrame, item: str = "item", rounds: i
                 kept.add(x)
         return pd.DataFrame({"item": sorted(kept)})
 
+    alone = open_rows.join(parts.select(F.col("id").alias("item")), "item", "left_anti")
     walked = inner.join(parts, inner.src == parts.id).select("component", "src", "dst").groupBy("component").applyInPandas(walk, f"item {kind}")
-    return state.where("state = 1").select("item").union(walked).withColumnRenamed("item", item)
+    return state.where("state = 1").select("item").union(walked).union(alone).withColumnRenamed("item", item)

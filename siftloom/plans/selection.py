@@ -283,7 +283,7 @@ def filename_semijoin(spark, sf_dir):
     return c.join(table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
 
 
-@query("aux_groups", "select l_orderkey || '' as base, string_agg(l_linenumber || '.' || l_linestatus, ';' order by l_linenumber) as files from lineitem group by l_orderkey")
+@query("aux_groups", "select l_orderkey || '' as base, string_agg(l_linenumber || '.' || l_linestatus, ';' order by l_linenumber, l_linestatus) as files from lineitem group by l_orderkey")
 def aux_groups(spark, sf_dir):
     from siftloom.sources.posts import group_by_base
 
