@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siftloom.plans import items, names, selection, vectors
+from siftloom.plans import items, more, names, selection, vectors
 
-MODULES: list = [items, names, vectors, selection]
+MODULES: list = [items, names, vectors, selection, more]
 ENTRY = items.captions
 
 
