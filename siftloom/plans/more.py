@@ -50,10 +50,10 @@ def folder_rename(spark, sf_dir):
     return V.folders(spark, sf_dir).where(~F.exists(parts, lambda x: x == "FRANCE")).select("path", F.array_join(renamed, "/").alias("renamed"))
 
 
-@query("emb_name_check", "select distinct p_name as name from part where lower(split_part(p_name, ' ', 1)) in (select lower(w) from (select unnest(string_split(text, ' ')) as w from benchmark))")
+@query("emb_name_check", "select distinct p_name as name from part where lower(split_part(p_name, ' ', 1)) in (select lower(split_part(p_name, ' ', 1)) from part where p_size <= 1)")
 def emb_name_check(spark, sf_dir):
     """Names whose first word is in a vocabulary."""
-    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).distinct()
+    words = table(spark, sf_dir, "part").where("p_size <= 1").select(F.lower(F.substring_index("p_name", " ", 1)).alias("word")).distinct()
     names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
     return names.join(words, F.lower(F.substring_index("name", " ", 1)) == F.col("word"), "left_semi")
 
