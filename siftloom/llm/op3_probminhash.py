@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     words, are linked only to equal ones. Repeated rows are copies. Other columns are left out.
 
     Equal texts are one node throughout. In a bucket (a band and its value) nodes are compared with a few
-    pivots, the smallest first; nodes that a link has already joined to the pivot aren't. So a group of copies
+    pivots, those that meet most others first; nodes that a link has already joined to the pivot aren't. So a group of copies
     costs a pair for each member, not for each two. Rounds with more pivots go on until, in every
     bucket, all nodes are joined or every two have been compared: no candidate pair is lost.
     """
@@ -191,7 +191,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     exploded = sets.select("node", F.explode(numbers("bands")).alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialize(exploded.join(shared, "bucket").select("bucket", "node", "n"), "members")
+    together = exploded.join(shared, "bucket").select("bucket", "node", "n")
+    # the node that meets most others is compared first: of a group of copies that is the text they were made from
+    met = together.groupBy("node").agg(F.sum("n").alias("met"))
+    members = materialize(together.select("bucket", "node").join(met, "node").select("bucket", "node", "met"), "members")
     sets = sets.select("node", "shingles")
 
     links = None
@@ -201,12 +204,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     while True:
         open_rows = members
         if labels is not None:
-            named = members.join(labels, members.node == labels.id, "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("part"))
+            named = members.join(labels, members.node == labels.id, "left").select("bucket", "node", "met", F.coalesce("component", "node").alias("part"))
             mixed = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("bucket")
             open_rows = materialize(named.join(mixed, "bucket"), "open")
         else:
             open_rows = members.withColumn("part", F.col("node"))
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("met"), "node"))
         ranked = open_rows.select("bucket", "node", "part", place.alias("place")).where(F.col("place") <= high).where(F.col("place") > low)
         pivots = ranked.select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"))
         pairs = open_rows.join(pivots, "bucket").where("part <> pa and node <> a")
