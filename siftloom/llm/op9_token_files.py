@@ -15,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,6 +25,8 @@ from siftloom.session import materialize, scratch_root, table
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 #: Longest code in bits; ids between two checkpoints; ids after which a block ends.
 LIMIT, LANE, BLOCK = 16, 256, 1 << 16
+#: Stands for a null key, before all others. Parts of the order of keys for each shuffle partition.
+NULL_KEY, PARTS = -(1 << 63), 4
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -106,7 +107,7 @@ class Code:
 
 
 def token_ids(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """(key, n_tokens, ids): the ids of each text and an end id as little-endian uint16; null texts are empty."""
+    """(key, n_tokens, ids): the ids of each text and an end id as little-endian uint16; null texts are empty, a null key is NULL_KEY."""
     import public_tokenizers
 
     path, end = public_tokenizers.path(vocabulary), int(end_id).to_bytes(2, "little")
@@ -116,7 +117,7 @@ def token_ids(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
         for texts in batches:
             yield pd.Series([x + end for x in fast_tokenizer(path, "<u2").encode([t or "" for t in texts.where(texts.notna(), "")])])
 
-    return docs.select(F.col(key), ids(F.col(text)).alias("ids")).select(key, (F.length("ids") / 2).cast("long").alias("n_tokens"), "ids")
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)).alias(key), ids(F.col(text)).alias("ids")).select(key, (F.length("ids") / 2).cast("long").alias("n_tokens"), "ids")
 
 
 def count_ids(ids: DataFrame) -> DataFrame:
@@ -143,6 +144,9 @@ def write_files(ids: DataFrame, path: str, key: str = "doc_id") -> None:
     lengths = code_lengths(counts)
     spark.createDataFrame([(int(a), int(b)) for a, b in zip(seen, lengths, strict=True)], "id long, length int").coalesce(1).write.parquet(f"{path}/codebook")
     code = Code(seen, lengths)
+    # parts of the order of keys, by a pass over the keys alone; any bounds give the same result
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = np.unique(np.array(ids.approxQuantile(key, [i / parts for i in range(1, parts)], 0.001), dtype=np.float64)).astype(np.int64)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -152,14 +156,15 @@ def write_files(ids: DataFrame, path: str, key: str = "doc_id") -> None:
                 flat = np.frombuffer(b"".join(part["ids"]), dtype="<u2")
                 data, first, at = code.encode(flat, sizes)
                 low = np.cumsum(sizes) - sizes
+                keys = part[key].to_numpy()
                 yield pd.DataFrame({
-                    key: part[key].to_numpy(), "n_tokens": sizes,
+                    "part": np.searchsorted(bounds, keys), key: keys, "n_tokens": sizes,
                     "bits": [data[a:b] for a, b in zip(first[:-1], first[1:], strict=True)],
                     "marks": [(at[i : i + n : LANE] - 8 * f).astype("<u4").tobytes() for i, n, f in zip(low, sizes, first[:-1], strict=True)],
                 })
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        file_no, block_no = TaskContext.get().partitionId(), 0
+        file_no, block_no = -1, 0
         keys: list = []
         sizes: list[int] = []
         bits: list[bytes] = []
@@ -173,7 +178,12 @@ def write_files(ids: DataFrame, path: str, key: str = "doc_id") -> None:
             })
 
         for pdf in batches:
-            for k, n, b, m in zip(pdf[key], pdf["n_tokens"], pdf["bits"], pdf["marks"], strict=True):
+            for p, k, n, b, m in zip(pdf["part"], pdf[key], pdf["n_tokens"], pdf["bits"], pdf["marks"], strict=True):
+                if p != file_no:
+                    if keys:
+                        yield block()
+                        keys, sizes, bits, marks, length, total = [], [], [], [], 0, 0
+                    file_no, block_no = p, 0
                 keys.append(k)
                 sizes.append(n)
                 bits.append(b)
@@ -185,9 +195,8 @@ def write_files(ids: DataFrame, path: str, key: str = "doc_id") -> None:
         if keys:
             yield block()
 
-    kind = ids.schema[key].dataType.simpleString()
-    coded = ids.mapInPandas(encode, f"{key} {kind}, n_tokens long, bits binary, marks binary")
-    ordered = coded.repartitionByRange(key).sortWithinPartitions(key, F.md5("bits"))
+    coded = ids.mapInPandas(encode, f"part int, {key} long, n_tokens long, bits binary, marks binary")
+    ordered = coded.repartition(max(1, parts // PARTS), "part").sortWithinPartitions("part", key, F.md5("bits"))
     ordered.mapInPandas(assemble, "file_no int, block_no int, n_tokens long, keys binary, sizes binary, marks binary, bits binary").write.option(
         "compression", "uncompressed"
     ).parquet(f"{path}/blocks")
@@ -236,7 +245,7 @@ def read_files(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame
     in_file = F.sum("n_tokens").over(Window.partitionBy("file_no").orderBy("block_no")) - F.col("n_tokens")
     starts = sizes.select("file_no", "block_no", in_file.alias("block_start")).join(files, "file_no")
     return docs.join(starts, ["file_no", "block_no"]).select(
-        key, (F.col("file_start") + F.col("block_start") + F.col("in_block")).alias("start"), "n_tokens", "ids_crc32"
+        F.when(F.col(key) != NULL_KEY, F.col(key)).alias(key), (F.col("file_start") + F.col("block_start") + F.col("in_block")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
