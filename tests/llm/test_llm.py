@@ -155,6 +155,16 @@ def test_line_join(spark, odd, empty):
     assert op6_line_join.matched_lines(empty).count() == 0
 
 
+def test_line_removal_keeps_one_of_repeated_rows(spark, odd):
+    got = [(r.doc_id, r.text) for r in op6_line_join.remove_lines(odd).collect()]
+    assert [t for k, t in got if k == 4] == [LONG]
+    assert sorted(map(str, got)) == sorted(str((k, t)) for k, t in {(r[0], r[1]) for r in ODD})
+    text = "first line of it\nsecond line with words\n\n\t"
+    rows = [(None, text), (None, text), (7, "first line of it\na third one is here"), (7, "first line of it\na third one is here"), (8, "first line of it\n\t")]
+    got = op6_line_join.remove_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, text), (7, "a third one is here")]
+
+
 def test_fingerprints(spark, odd, empty):
     rows = sorted(((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()), reverse=True)
     got = {r.doc_id: r for r in op7_fingerprints.op7_fingerprints(spark, SF).collect()}
