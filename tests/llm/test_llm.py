@@ -155,6 +155,13 @@ def test_line_join(spark, odd, empty):
     assert op6_line_join.matched_lines(empty).count() == 0
 
 
+def test_short_lines_are_removed(spark):
+    rows = [(1, "Les.\nand ornd.\n\nLes."), (2, "les.\nornd. And\n\nmore"), (3, "\n \t"), (4, "les. more\nmore\n")]
+    got = op6_line_join.matched_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.removed for r in got} == {1: [3], 2: [0, 1], 3: [], 4: [1]}
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 2}
+
+
 def test_line_removal_keeps_one_of_repeated_rows(spark, odd):
     got = [(r.doc_id, r.text) for r in op6_line_join.remove_lines(odd).collect()]
     assert [t for k, t in got if k == 4] == [LONG]
