@@ -1,9 +1,10 @@
-"""Near-duplicates by ProbMinHash over weighted word shingles, banding and exact verification.
+"""Near-duplicates by ProbMinHash over word shingles, banding and exact verification.
 
 A shingle of weight w arrives at the times of a Poisson process of rate w, each time at a random register.
 A register keeps the shingle that arrives first, so two texts agree in a register with the probability
 Jaccard similarity of their weights. A shingle is dropped once its next arrival is later than the last
-register's. Texts that agree in a band of registers are candidates; their shingle sets decide.
+register's. Texts that agree in a band of registers are candidates; their shingle sets decide. A link is
+the Jaccard similarity of sets, so every shingle has weight 1, however often a text repeats it.
 """
 
 from __future__ import annotations
@@ -67,16 +68,16 @@ class Shingler:
         np.cumsum(_mix(c.astype(np.uint64) * _STEP) * self.powers[: len(c)], out=upto[1:])
         return _mix((upto[end] - upto[start]) * self.inverses[start])
 
-    def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingle hashes, ascending, and their numbers. A text of fewer words is one shingle; one without words has none."""
+    def shingles(self, text: str) -> np.ndarray:
+        """Distinct shingle hashes, ascending. A text of fewer words is one shingle; one without words has none."""
         w = self.words(text)
         if not len(w):
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.uint64)
         k = min(WORDS, len(w))
         total = np.zeros(len(w) - k + 1, dtype=np.uint64)
         for j in range(k):
             total = total * _STEP + w[j : len(w) - k + 1 + j]
-        return np.unique(_mix(total), return_counts=True)
+        return np.unique(_mix(total))
 
 
 def sketch(hashes: np.ndarray, weights: np.ndarray, owners: np.ndarray, n: int, registers: int) -> np.ndarray:
@@ -122,19 +123,18 @@ def _shingler() -> Shingler:
 
 
 def sketch_texts(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-    """Of each text: its distinct shingles as ascending uint32, and its band keys as int64. Weights are 1 + ln(count)."""
+    """Of each text: its distinct shingles as ascending uint32, and its band keys as int64. Weights are 1: bands are those of the sets."""
     sets, keys, at = [], [], 0
     while at < len(texts):
         some, size = [], 0
         while at < len(texts) and (not some or size < SOME):
             some.append(_shingler().shingles(texts[at]))
-            size += len(some[-1][0])
+            size += len(some[-1])
             at += 1
-        hashes = np.concatenate([h for h, _ in some])
-        weights = 1 + np.log(np.concatenate([c for _, c in some]).astype(float))
-        owners = np.repeat(np.arange(len(some)), [len(h) for h, _ in some])
-        bands = band_keys(sketch(hashes, weights, owners, len(some), BANDS * ROWS)).view(np.int64)
-        for (h, _), b in zip(some, bands, strict=True):
+        hashes = np.concatenate(some)
+        owners = np.repeat(np.arange(len(some)), [len(h) for h in some])
+        bands = band_keys(sketch(hashes, np.ones(len(hashes)), owners, len(some), BANDS * ROWS)).view(np.int64)
+        for h, b in zip(some, bands, strict=True):
             sets.append(np.unique((h >> np.uint64(32)).astype("<u4")).tobytes())
             keys.append(b.astype("<i8").tobytes() if len(h) else b"")
     return sets, keys

@@ -101,6 +101,19 @@ def test_probminhash_estimates_similarity():
     assert abs((regs[0] == regs[1]).mean() - 400 / 600) < 0.05
 
 
+def test_near_duplicates_with_a_repeated_passage(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(60):
+        w = [f"w{i}x{n}" for n in rng.permutation(1000)[:400]]
+        once, passage = " ".join(w), " ".join(w[:80])
+        texts += [once, once + (" " + passage) * 200]
+        assert len(shingles(texts[-2]) & shingles(texts[-1])) >= 0.8 * len(shingles(texts[-2]) | shingles(texts[-1]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in op3_probminhash.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_mixture_takes_quota(spark, odd, empty):
     docs = op4_mixing.with_levels(spark.read.parquet(f"{SF}/documents.parquet")).select("doc_id", *op4_mixing.LEVELS, "tokens")
     got = op4_mixing.mix(docs, op4_mixing.LEVELS, op4_mixing.WEIGHTS, 600)
