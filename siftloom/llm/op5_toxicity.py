@@ -1,9 +1,11 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Examples are held in an inverted index in blocks. For every term a block knows its largest weight, so a
-sum over a query's terms bounds the cosines of a whole block; blocks are visited from the highest bound
-down until none can hold a nearer example. The nearest examples vote with their cosines, and the votes
-are calibrated on the examples themselves, each judged without itself and its copies.
+All terms of the examples are in an inverted index: rare terms as posting lists, common ones (most of the
+postings) as columns of weights in blocks of examples. For every common term a block knows its largest
+weight, so the cosine over rare terms and a sum over the query's common ones bound an example's cosine;
+common terms are only summed up where the bound reaches the nearest examples. The nearest examples vote
+with their cosines, and the votes are calibrated on the examples themselves, each judged without itself
+and its copies.
 """
 
 from __future__ import annotations
@@ -23,12 +25,8 @@ from siftloom.session import table
 
 #: Expected number of example texts of each class; examples in a block; neighbours that vote.
 EXAMPLES, BLOCK, NEIGHBOURS = 2500, 64, 15
-#: A term enters the index if so many examples have it and its chi-square against the label is this high.
-LEAST_EXAMPLES, LEAST_CHI2 = 4, 20.0
-#: And if it is so many times as frequent in one class as in the other.
-LEAST_RATIO = 3.0
-#: Terms of the index at most, the strongest first.
-MOST_TERMS = 4000
+#: Terms of more than one in so many examples are common; blocks that are searched first.
+COMMON, FIRST_BLOCKS = 5, 8
 #: Lengths of word starts that are terms beside whole words.
 STARTS = (4, 5, 6)
 #: Words that a worker remembers.
@@ -67,19 +65,21 @@ class Vocabulary(dict):
     def counts(self, text: str) -> dict[int, int]:
         """Occurrences of the index's terms in a whole text."""
         out: dict[int, int] = defaultdict(int)
-        words = _WORD.findall(text.lower())
-        for word in set(words):
+        for word, n in Counter(_WORD.findall(text.lower())).items():
             for t in self[word]:
-                out[t] += 1
-        if not out:
-            return out
-        hits = {w for w in set(words) if self[w]}
-        exact: dict[int, int] = defaultdict(int)
-        for w in words:
-            if w in hits:
-                for t in self[w]:
-                    exact[t] += 1
-        return exact
+                out[t] += n
+        return out
+
+
+def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and unit TF-IDF weights of a text's terms, in order of place."""
+    places = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
+    times = np.fromiter(counts.values(), dtype=float, count=len(counts))
+    order = np.argsort(places)
+    places = places[order]
+    w = (1 + np.log(times[order])) * idf[places]
+    norm = math.sqrt(float(w @ w))
+    return places, w / norm if norm else w
 
 
 @dataclass
@@ -90,9 +90,9 @@ class Index:
     idf: np.ndarray
     labels: np.ndarray
     names: np.ndarray
-    #: Weights of the examples, one row of terms for each, in blocks of BLOCK rows.
-    rows: np.ndarray
-    #: Largest weight of each term in each block.
+    #: Weights of the examples: a dense row of terms for each, or places and weights of each. Left empty once indexed.
+    rows: np.ndarray | list
+    #: Largest weight of each common term in each block.
     most: np.ndarray
     #: Edges and values of the calibration of votes, and the score of texts without a neighbour.
     knots: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
@@ -101,32 +101,67 @@ class Index:
     #: What an example of each class stands for: rows of the class over examples of it.
     stands_for: np.ndarray = field(default_factory=lambda: np.ones(2))
 
+    def __post_init__(self) -> None:
+        n, rows = len(self.labels), self.rows
+        if isinstance(rows, np.ndarray):
+            rows = [(np.flatnonzero(r), r[r != 0]) for r in rows[:n]]
+        self.rows = []
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(p) for p, _ in rows])
+        place = np.concatenate([np.zeros(0, np.int64), *(p for p, _ in rows)])
+        weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in rows)]).astype(np.float32)
+        held = np.bincount(place, minlength=len(self.terms))
+        #: Number of each common term, -1 for rare ones; weights of common terms by block, term and example.
+        self.column = np.where(held * COMMON > n, 0, -1)
+        self.column[self.column == 0] = np.arange((self.column == 0).sum())
+        often = self.column[place] >= 0
+        blocks = -(-n // BLOCK)
+        self.common = np.zeros((blocks, int(self.column.max(initial=-1)) + 1, BLOCK))
+        self.common[owner[often] // BLOCK, self.column[place[often]], owner[often] % BLOCK] = weight[often]
+        self.most = self.common.max(axis=2)
+        #: Posting lists of rare terms: where each begins, examples and weights.
+        owner, place, weight = owner[~often], place[~often], weight[~often]
+        order = np.argsort(place, kind="stable")
+        self.examples, self.weights = owner[order], weight[order]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(self.terms)))])
+
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Places and unit weights of a text, in order of place."""
-        places = np.array(sorted(counts), dtype=np.int64)
-        w = np.array([1 + math.log(counts[p]) for p in places]) * self.idf[places]
-        norm = math.sqrt(float(w @ w))
-        return places, w / norm if norm else w
+        """Places and unit weights of a text. A query's words that no example has are left out of its norm:
+        that scales all its cosines alike, and neither the nearest examples nor their vote change."""
+        return unit_vector(counts, self.idf)
 
     def nearest(self, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine over 0, and the cosines; ties by place in the index. Exact."""
-        if not len(places) or not len(self.labels):
+        n = len(self.labels)
+        if not len(places) or not n:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = self.most[:, places] @ weights
+        column = self.column[places]
+        rare = np.flatnonzero(column < 0)
+        start, end = self.begin[places[rare]], self.begin[places[rare] + 1]
+        sums = np.zeros(len(self.most) * BLOCK)
+        if (end > start).any():
+            slices = [slice(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+            met = np.concatenate([self.examples[x] for x in slices])
+            sums = np.bincount(met, np.concatenate([self.weights[x] for x in slices]) * np.repeat(weights[rare], end - start), minlength=len(sums))
+        sums = sums.reshape(-1, BLOCK)
+        columns, w = column[column >= 0], weights[column >= 0]
+        bound = sums.max(axis=1) + self.most[:, columns] @ w
         order = np.argsort(-bound, kind="stable")
-        found, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in order:
-            if bound[b] <= 0 or (len(found) >= k and bound[b] < least - 1e-12):
-                break
-            cos = self.rows[b * BLOCK : (b + 1) * BLOCK][:, places] @ weights
-            hit = np.flatnonzero(cos > 0)
-            found, cosines = np.concatenate([found, hit + b * BLOCK]), np.concatenate([cosines, cos[hit]])
-            if len(found) > k:
-                best = np.lexsort((found, -np.round(cosines, 12)))[:k]
-                found, cosines = found[best], cosines[best]
-            least = cosines.min() if len(found) >= k else 0.0
-        order = np.lexsort((found, -np.round(cosines, 12)))
-        return found[order], cosines[order]
+
+        def search(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            cosines = sums[blocks] + np.matmul(w, self.common[blocks[:, None], columns]) if len(columns) else sums[blocks]
+            return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), cosines.ravel()
+
+        # the blocks of highest bounds give the cosine that others must reach
+        found, cosines = search(order[:FIRST_BLOCKS])
+        least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bound[rest] >= least - 1e-9]
+        if len(rest):
+            more, others = search(rest)
+            found, cosines = np.concatenate([found, more]), np.concatenate([cosines, others])
+        near = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-9))
+        near = near[np.lexsort((found[near], -np.round(cosines[near], 12)))[:k]]
+        return found[near], cosines[near]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """Share of label 1 in the votes, each of a weight that falls with the distance and that evens out the sample's classes."""
@@ -149,28 +184,15 @@ def sample_examples(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(drawn, "doc_id"), sizes
 
 
-def choose_terms(texts: list[str], labels: np.ndarray) -> list[str]:
-    """Terms that tell the classes apart in the examples, strongest first, then by name."""
-    with_term: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for text, label in zip(texts, labels, strict=True):
-        for t in text_terms(text):
-            with_term[t][label] += 1
-    n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
-    scored = []
-    for t, (c0, c1) in with_term.items():
-        if c0 + c1 < LEAST_EXAMPLES:
-            continue
-        a, b, c, d = c1, c0, n1 - c1, n0 - c0
-        below = (a + b) * (c + d) * (a + c) * (b + d)
-        chi2 = (a * d - b * c) ** 2 * (n1 + n0) / below if below else 0.0
-        low, high = sorted((a / n1, b / n0))
-        if chi2 >= LEAST_CHI2 and high >= LEAST_RATIO * low:
-            scored.append((-chi2, t))
-    return [t for _, t in sorted(scored)[:MOST_TERMS]]
+def example_terms(texts: list[str]) -> tuple[list[str], list[dict[int, int]]]:
+    """All terms of the examples, and the occurrences of each (by place) in every text."""
+    place: dict[str, int] = {}
+    counts = [{place.setdefault(t, len(place)): n for t, n in text_terms(text).items()} for text in texts]
+    return list(place), counts
 
 
 def document_frequency(docs: DataFrame, terms: list[str], text: str = "text") -> tuple[int, np.ndarray]:
-    """Number of rows, and of rows with each term, over all of ``docs``: one small row of counts from each task."""
+    """Number of rows, and of rows with each term, over all of ``docs``: from each task a row for each term it met."""
     place = {t: i for i, t in enumerate(terms)}
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,13 +201,17 @@ def document_frequency(docs: DataFrame, terms: list[str], text: str = "text") ->
             for t in pdf["text"]:
                 n += 1
                 if t:
-                    hit = {p for w in set(_WORD.findall(t.lower())) for p in known[w]}
-                    total[list(hit)] += 1
-        yield pd.DataFrame({"place": [-1, *range(len(terms))], "n": [n, *total.tolist()]})
+                    hit = set().union(*[known[w] for w in set(_WORD.findall(t.lower()))])
+                    total[np.fromiter(hit, dtype=np.int64, count=len(hit))] += 1
+        met = np.flatnonzero(total)
+        yield pd.DataFrame({"place": np.append(met, -1), "n": np.append(total[met], n)})
 
     counted = docs.select(F.col(text).alias("text")).mapInPandas(add, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    got = {r.place: r.n for r in counted.collect()}
-    return got.get(-1, 0), np.array([got.get(i, 0) for i in range(len(terms))], dtype=float)
+    got = counted.toArrow()  # one row for each term of the examples
+    place, n = (got.column(c).to_numpy() for c in ("place", "n"))
+    out = np.zeros(len(terms))
+    out[place[place >= 0]] = n[place >= 0]
+    return int(n[place < 0].sum()), out
 
 
 def fit_index(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index:
@@ -199,21 +225,16 @@ def fit_index(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> I
     y = np.array([r.toxic for r in rows], dtype=np.int64)
     known = sum(sizes.values())
     prior = sizes.get(1, 0) / known if known else 0.0
-    terms = choose_terms([r.text for r in rows], y) if len(set(y.tolist())) == 2 else []
+    terms, counts = example_terms([r.text for r in rows]) if len(set(y.tolist())) == 2 else ([], [])
     n, df = document_frequency(docs, terms) if terms else (0, np.zeros(0))
-    index = Index(terms, np.log((1 + n) / (1 + df)) + 1 if terms else df, y, np.array([r.doc_id for r in rows], dtype=np.int64), np.zeros((0, 0)), np.zeros((0, 0)), prior=prior, lonely=prior)
+    idf, names = np.log((1 + n) / (1 + df)) + 1 if terms else df, np.array([r.doc_id for r in rows], dtype=np.int64)
     if not terms:
-        return index
-    vocabulary = Vocabulary({t: i for i, t in enumerate(terms)})
-    vectors = [index.vector(vocabulary.counts(r.text)) for r in rows]
-    # examples with the same strongest term stand together, so that blocks have tight bounds
-    order = sorted(range(len(rows)), key=lambda i: (int(vectors[i][0][0]) if len(vectors[i][0]) else len(terms), i))
-    vectors, index.labels, index.names = [vectors[i] for i in order], y[order], index.names[order]
-    blocks = -(-len(rows) // BLOCK)
-    index.rows = np.zeros((blocks * BLOCK, len(terms)), dtype=np.float32)
-    for i, (places, w) in enumerate(vectors):
-        index.rows[i, places] = w
-    index.most = index.rows.reshape(blocks, BLOCK, -1).max(axis=1)
+        return Index(terms, idf, y[:0], names[:0], [], np.zeros((0, 0)), prior=prior, lonely=prior)
+    vectors = [unit_vector(c, idf) for c in counts]
+    # examples with the same heaviest term stand together, so that blocks have tighter bounds
+    order = sorted(range(len(rows)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else len(terms), i))
+    vectors = [vectors[i] for i in order]
+    index = Index(terms, idf, y[order], names[order], vectors, np.zeros((0, 0)), prior=prior, lonely=prior)
     n_class = np.bincount(index.labels, minlength=2)
     index.stands_for = np.array([sizes.get(c, 0) / max(1, n_class[c]) for c in (0, 1)])
     _calibrate(index, vectors)
@@ -259,21 +280,18 @@ def score_texts(docs: DataFrame, index: Index, text: str = "text", threshold: fl
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ix = sent.value
         if "v" not in kept:
-            kept["v"], kept["seen"] = Vocabulary({t: i for i, t in enumerate(ix.terms)}), {}
-        known, seen = kept["v"], kept["seen"]
+            kept["v"] = Vocabulary({t: i for i, t in enumerate(ix.terms)})
+        known = kept["v"]
         for texts in batches:
-            scores, evidence = [], []
+            scores, evidence, seen = [], [], {}
             for t in texts:
-                counts = known.counts(t) if t else {}
-                name = tuple(sorted(counts.items()))
-                if name not in seen:
+                if t not in seen:
+                    counts = known.counts(t) if t else {}
                     found, cosines = ix.nearest(*ix.vector(counts), NEIGHBOURS) if counts else (np.zeros(0, np.int64), None)
                     score = float(np.interp(ix.vote(found, cosines), *ix.knots)) if len(found) else ix.lonely
-                    if len(seen) > REMEMBERED:
-                        seen.clear()
-                    seen[name] = (min(1.0, max(0.0, score)), ix.names[found].tolist())
-                scores.append(seen[name][0])
-                evidence.append(seen[name][1])
+                    seen[t] = (min(1.0, max(0.0, score)), ix.names[found].tolist())
+                scores.append(seen[t][0])
+                evidence.append(seen[t][1])
             yield pd.DataFrame({"score": scores, "evidence": evidence})
 
     scored = docs.select(*keep, judge(F.col(text)).alias("_j"))

@@ -146,6 +146,26 @@ def test_toxicity_odd(spark, odd, empty):
     assert op5_toxicity.score_texts(empty, op5_toxicity.fit_index(empty, labels.limit(0))).count() == 0
 
 
+def test_toxicity_counts_every_term(spark):
+    # no word tells the classes apart in 20 examples, and every text has words of its own
+    texts = [f"shared words common to all own{i} other{i} third{i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    index = op5_toxicity.fit_index(docs, labels)
+    terms = [op5_toxicity.text_terms(t) for t in texts]
+    df = {t: sum(t in x for x in terms) for x in terms for t in x}
+    full = [{t: (1 + np.log(n)) * (np.log(41 / (1 + df[t])) + 1) for t, n in x.items()} for x in terms]
+    norm = [np.sqrt(sum(w * w for w in x.values())) for x in full]
+    places = {t: i for i, t in enumerate(index.terms)}
+    known = op5_toxicity.Vocabulary(places)
+    for i in index.names.tolist():
+        assert all(t in places for t in terms[i])
+        found, cosines = index.nearest(*index.vector(known.counts(texts[i])), 50)
+        want = {j: sum(w * full[j].get(t, 0) for t, w in full[i].items()) / norm[i] / norm[j] for j in index.names.tolist()}
+        assert dict(zip(index.names[found].tolist(), cosines.tolist(), strict=True)) == pytest.approx(want, abs=1e-6)
+        assert index.names[found[0]] == i
+
+
 def words(line):
     return frozenset(w for w in line.lower().replace("\t", " ").split(" ") if w)
 
