@@ -10,6 +10,7 @@ and its copies.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -237,17 +238,18 @@ def fit_index(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> I
     index = Index(terms, idf, y[order], names[order], vectors, np.zeros((0, 0)), prior=prior, lonely=prior)
     n_class = np.bincount(index.labels, minlength=2)
     index.stands_for = np.array([sizes.get(c, 0) / max(1, n_class[c]) for c in (0, 1)])
-    _calibrate(index, vectors)
+    digests = [hashlib.md5(rows[i].text.encode("utf-8", "surrogatepass")).digest() for i in order]
+    _calibrate(index, vectors, digests)
     return index
 
 
-def _calibrate(index: Index, vectors: list) -> None:
-    """Scores of votes: the weighted share of label 1 among examples of similar votes, made monotone."""
-    weight = index.stands_for
+def _calibrate(index: Index, vectors: list, digests: list[bytes]) -> None:
+    """Each example is judged without those of an equal text (digest), itself too. Scores of votes: the weighted share of label 1 among examples of similar votes, made monotone."""
+    weight, copies = index.stands_for, Counter(digests)
     votes, alone = [], [0.0, 0.0]
     for i, (places, w) in enumerate(vectors):
-        found, cosines = index.nearest(places, w, NEIGHBOURS + 10)
-        keep = [j for j, f in enumerate(found) if f != i][:NEIGHBOURS]
+        found, cosines = index.nearest(places, w, NEIGHBOURS + copies[digests[i]])
+        keep = [j for j, f in enumerate(found) if digests[f] != digests[i]][:NEIGHBOURS]
         label = index.labels[i]
         if keep:
             votes.append((index.vote(found[keep], cosines[keep]), label, weight[label]))

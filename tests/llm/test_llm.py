@@ -166,6 +166,19 @@ def test_toxicity_counts_every_term(spark):
         assert index.names[found[0]] == i
 
 
+def test_calibration_leaves_out_copies(spark, monkeypatch):
+    # 30 copies of one text: each is judged by the others' votes only
+    texts = ["copied text of many words"] * 30 + [f"copied text with number{i}" for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(60)], "doc_id long, toxic int")
+    seen = []
+    vote = op5_toxicity.Index.vote
+    monkeypatch.setattr(op5_toxicity.Index, "vote", lambda self, found, cosines: seen.append(self.names[found].tolist()) or vote(self, found, cosines))
+    index = op5_toxicity.fit_index(docs, labels)
+    # no vote on a copy has another copy, and 15 others are found for each
+    assert sum(all(n >= 30 for n in x) and len(x) == 15 for x in seen) >= (index.names < 30).sum() + (index.names >= 30).sum() // 2
+
+
 def words(line):
     return frozenset(w for w in line.lower().replace("\t", " ").split(" ") if w)
 
