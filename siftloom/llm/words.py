@@ -4,29 +4,54 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from collections.abc import Callable
 
 import numpy as np
 
 #: Words that a worker remembers; the memory starts afresh beyond it.
-REMEMBERED = 500_000
-#: Characters of texts that are cut into words at once.
-SOME = 1_000_000
+REMEMBERED = 800_000
+#: Longest word, with its punctuation, that is remembered.
+LONGEST = 64
 
 #: Separators that Python takes for white space and the tokenizers don't.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPECIAL = "<|"
-#: A word that ends in punctuation: what stands before, up to a letter or digit, and the punctuation.
-_TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.DOTALL)
-#: Words that are encoded as one text, and the byte that parts them there.
-JOINED, PART = 2000, "\x00"
+#: Letters that normal form C leaves alone and that have one lower case each, wherever they stand.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-į]+").fullmatch
+_MARKS = string.punctuation
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for themselves, others for letters from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Known(dict):
+    """Ids of words or parts of words, as bytes; one that isn't known is learned."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = self.learn(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
 
 
 class FastTokenizer:
     """The ids of ``tokenizers`` for whole texts, as bytes of little-endian numbers of ``width``.
 
-    Both kinds of vocabulary cut texts at white space before anything else, so a text's ids are its words'
-    ids in a row. Texts in which a cut could fall elsewhere are given to the tokenizer whole.
-    Special tokens in a text count as ordinary text.
+    Both kinds of vocabulary cut texts at white space before anything else, and at a word's end before its
+    punctuation, so a text's ids are its words' ids in a row. Words of plain letters go to the vocabulary's
+    model alone; other words, and texts in which a cut could fall elsewhere or that may hold special tokens,
+    go through the whole tokenizer.
     """
 
     def __init__(self, path: str, width: str = "<u4") -> None:
@@ -34,23 +59,50 @@ class FastTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.width = width
+        self.model, self.width, self.letters = self.tokenizer.model, width, _byte_letters()
+        ids = np.arange(self.tokenizer.get_vocab_size(with_added_tokens=True)).astype(width)
+        if int(ids[-1]) != len(ids) - 1:
+            raise ValueError(f"ids of this vocabulary don't fit {width}")
+        #: Bytes of each id.
+        self.number = [i.tobytes() for i in ids]
         #: Byte-level vocabularies keep the space before a word as part of it; the others have no upper case.
         self.keeps_space = self.tokenizer.normalizer is None
-        (self.part_id,) = self.tokenizer.encode(PART, add_special_tokens=False).ids
+        self.space = self.letters[32] if self.keeps_space else ""
         self.newline = self.whole("\n")
-        #: Ids of words as they are met (those that begin a line with the line's end), of words after a space, of words after none.
-        self.known: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
+        #: Ids of words as they stand between white space (those that begin a line with the line's end).
+        self.known = _Known(self.word)
+        #: Ids of stems and of punctuation, as the model takes them.
+        self.parts = _Known(self.part)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
+        return self.as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def as_bytes(self, ids: list[int]) -> bytes:
+        return b"".join([self.number[i] for i in ids])
+
+    def part(self, text: str) -> bytes:
+        number = self.number
+        return b"".join([number[t.id] for t in self.model.tokenize(text)])
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word between white space; one that begins a line has the line's end before it."""
+        if word[0] == "\n":
+            return self.newline + self.bare(word[1:], "")
+        return self.bare(word, self.space)
+
+    def bare(self, word: str, space: str) -> bytes:
+        stem = word.rstrip(_MARKS)
+        if not _PLAIN(stem):
+            return self.whole(" " + word if space else word)
+        ids = stem if self.keeps_space else stem.lower()
+        if not ids.isascii():
+            ids = ids.encode().decode("latin-1").translate(self.letters)
+        ids = self.parts[space + ids]
+        return ids if len(stem) == len(word) else ids + self.parts[word[len(stem) :]]
 
     def words(self, text: str) -> list[str] | None:
         """The text's words; None if it must be encoded whole."""
-        if _SPECIAL in text or any(c in text for c in _SEPARATORS):
+        if _SPECIAL in text or _SEPARATORS.search(text):
             return None
         words = text.split()
         if not self.keeps_space:
@@ -59,82 +111,13 @@ class FastTokenizer:
         pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
         return pieces if len(pieces) == len(words) else None
 
-    def encode_joined(self, words: set[str], known: dict[str, bytes], space: str) -> None:
-        """Ids of words, many as one text, joined by a byte that no word holds, whose id parts them again."""
-        # what follows an apostrophe is cut in another way right after the parting byte: such words are encoded alone
-        alone = {w for w in words if PART in w or w[:1] == "'"}
-        for w in alone:
-            known[w] = self.whole(space + w)
-        new = list(words - alone)
-        part = f"{PART}{space}" if self.keeps_space else f" {PART} "
-        for at in range(0, len(new), JOINED):
-            some = new[at : at + JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast([space + part.join(some)], add_special_tokens=False)[0].ids, dtype=self.width)
-            ends = np.flatnonzero(ids == self.part_id)
-            if len(ends) != len(some) - 1:
-                raise ValueError("words and ids don't match")
-            size, data = ids.itemsize, ids.tobytes()
-            for w, a, b in zip(some, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)], strict=True):
-                known[w] = data[a * size : b * size]
-
-    def learn(self, words: set[str]) -> None:
-        """Puts words into memory. Punctuation at a word's end is cut off before anything else, so it is encoded apart."""
-        if len(self.known) + len(words) > REMEMBERED:
-            for memory in (self.known, self.spaced, self.bare):
-                memory.clear()
-        made: list[tuple[str, bool, str, str]] = []
-        need: tuple[set[str], set[str]] = (set(), set())
-        memories = (self.bare, self.spaced)
-        for w in words:
-            after_space = self.keeps_space and w[:1] != "\n"
-            word = w if after_space or not self.keeps_space else w[1:]
-            m = _TAIL.fullmatch(word)
-            stem, tail = m.groups() if m else (word, "")
-            if not self.keeps_space and stem.isascii():
-                stem = stem.lower()
-            if stem not in memories[after_space]:
-                need[after_space].add(stem)
-            if tail and tail not in self.bare:
-                need[0].add(tail)
-            made.append((w, after_space, stem, tail))
-        self.encode_joined(need[0], self.bare, "")
-        self.encode_joined(need[1], self.spaced, " ")
-        for w, after_space, stem, tail in made:
-            ids = memories[after_space][stem] + (self.bare[tail] if tail else b"")
-            self.known[w] = ids if after_space or not self.keeps_space else self.newline + ids
-
-    def encode_some(self, texts: list[str]) -> list[bytes]:
-        get, rows, missing = self.known.get, [], set()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        out, get, first = [], self.known.__getitem__, len(self.newline) if self.keeps_space else 0
         for text in texts:
             words = self.words(text) if text else []
-            ids = list(map(get, words)) if words is not None else None
-            gaps = [i for i, x in enumerate(ids) if x is None] if ids and None in ids else []
-            missing.update([words[i] for i in gaps])
-            rows.append((text, words, ids, gaps))
-        self.learn(missing)
-        out = []
-        for text, words, ids, gaps in rows:
-            if ids is None:
-                out.append(self.whole(text))
-                continue
-            for i in gaps:
-                ids[i] = self.known[words[i]]
-            data = b"".join(ids)
             # the first word counts as the beginning of a line
-            out.append(data[len(self.newline) :] if self.keeps_space else data)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, some texts at a time, so that the memory taken follows the longest text alone."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= SOME):
-                size += len(texts[end])
-                end += 1
-            out += self.encode_some(texts[at:end])
-            at = end
+            out.append(self.whole(text) if words is None else b"".join(map(get, words))[first:])
         return out
 
 

@@ -260,8 +260,7 @@ def test_fast_tokenizer(name, width):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path(name))
-    plain.encode_special_tokens = True
-    texts = ["a  b", "x\n\ny", " lead", "trail ", "tab\there", "\n", "a\n b", "don't  I'll go", "é <|endoftext|> q", "", "a\x1cb c", "ΣΑΣ σ d \r\n x", "'s\n't 're", "12 345\n6", "日本語\n次", "it's, don't. x'' A_b_ _. É. é.", "a\x00b c\x00", "...\n..", LONG]
+    texts = ["a  b", "x\n\ny", " lead", "trail ", "tab\there", "\n", "a\n b", "don't  I'll go", "é <|endoftext|> q", "", "a\x1cb c", "ΣΑΣ σ d \r\n x", "'s\n't 're", "12 345\n6", "日本語\n次", "it's, don't. x'' A_b_ _. É. é.", "a\x00b c\x00", "...\n..", "éa. É", "İx ıy ß ẞ", "x».y «a»,", "<|startoftext|>", "word<|endoftext|>,", "a\u00a0b", "a\u0085b c", "_x_ (y) [z]. A's B't", "e\u0301 ªb ŉc", LONG]
     assert FastTokenizer(public_tokenizers.path(name), width).encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, dtype=width).tobytes() for t in texts]
 
 
