@@ -18,14 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siftloom.operators.graph import connected_components
-from siftloom.session import materialize, table
+from siftloom.session import Scratch, materialize, table
 
 #: Words in a shingle, least Jaccard similarity of a link.
 WORDS, SIMILAR = 5, 0.8
 #: Bands of registers and registers in a band. At similarity 0.8 a pair shares no band once in 300,000.
 BANDS, ROWS = 24, 4
-#: Pivots of a bucket in the first and second round, and how the number grows from then on.
+#: Bytes of a shingle's hash that are stored and compared: of a thousand million pairs of different shingles none is expected to look equal.
+STORED = 5
+#: Pivots of a bucket in the first and second round, and how the number grows from then on. Any numbers give the same result.
 PIVOTS, MORE_PIVOTS = (1, 16), 8
+#: Numbers of rows, at most, that are sent to all executors (8 bytes each); of more, both sides are shuffled.
+SENT_ROWS = 1_000_000
 #: Shingles that are sketched at once.
 SOME = 200_000
 
@@ -122,8 +126,20 @@ def _shingler() -> Shingler:
     return _kept[0]
 
 
+def pack_hashes(hashes: np.ndarray) -> bytes:
+    """The distinct first STORED bytes of hashes, ascending, in so many bytes each."""
+    short = np.unique(hashes >> np.uint64(64 - 8 * STORED)).astype("<u8")
+    return short.view(np.uint8).reshape(-1, 8)[:, :STORED].tobytes()
+
+
+def unpack_hashes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // STORED, 8), dtype=np.uint8)
+    out[:, :STORED] = np.frombuffer(data, dtype=np.uint8).reshape(-1, STORED)
+    return out.view("<u8").ravel()
+
+
 def sketch_texts(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-    """Of each text: its distinct shingles as ascending uint32, and its band keys as int64. Weights are 1: bands are those of the sets."""
+    """Of each text: its distinct shingles (pack_hashes), and its band keys as int64. Weights are 1: bands are those of the sets."""
     sets, keys, at = [], [], 0
     while at < len(texts):
         some, size = [], 0
@@ -135,7 +151,7 @@ def sketch_texts(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         owners = np.repeat(np.arange(len(some)), [len(h) for h in some])
         bands = band_keys(sketch(hashes, np.ones(len(hashes)), owners, len(some), BANDS * ROWS)).view(np.int64)
         for h, b in zip(some, bands, strict=True):
-            sets.append(np.unique((h >> np.uint64(32)).astype("<u4")).tobytes())
+            sets.append(pack_hashes(h))
             keys.append(b.astype("<i8").tobytes() if len(h) else b"")
     return sets, keys
 
@@ -147,7 +163,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for pdf in batches:
             ok = np.zeros(len(pdf), dtype=bool)
             for i, (x, y) in enumerate(zip(pdf["xs"], pdf["ys"], strict=True)):
-                x, y = np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")
+                x, y = unpack_hashes(x), unpack_hashes(y)
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 ok[i] = shared >= SIMILAR * (len(x) + len(y) - shared) - 1e-9
@@ -158,79 +174,118 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "xs", "ys").mapInPandas(verify, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, name, class_id, class_size, kept) for each row of ``docs``; name is the md5 of the text.
-
-    A class holds rows with equal texts and all that links of similarity SIMILAR or more join; class_id is its
-    smallest key, and one row, of that key, is kept. Null texts count as empty; empty texts, and texts without
-    words, are linked only to equal ones. Repeated rows are copies. Other columns are left out.
+def _shared(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``nodes`` (node, shingles) with n, the number of shingles, and shared, of those that another of the nodes has too.
 
-    Equal texts are one node throughout. In a bucket (a band and its value) nodes are compared with a few
-    pivots, those that meet most others first; nodes that a link has already joined to the pivot aren't. So a group of copies
-    costs a pair for each member, not for each two. Rounds with more pivots go on until, in every
-    bucket, all nodes are joined or every two have been compared: no candidate pair is lost.
+    Shingles of one node alone are counted, so that no list of a shingle's nodes is ever made.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("name", F.md5("text"))
 
-    @F.pandas_udf("shingles binary, bands binary")
-    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets, keys = sketch_texts(list(texts))
-            yield pd.DataFrame({"shingles": sets, "bands": keys})
+    @F.pandas_udf("array<long>")
+    def numbers(shingles: pd.Series) -> pd.Series:
+        return pd.Series([unpack_hashes(x).view(np.int64) for x in shingles])
 
-    stored = materialize(rows.select("row", "key", "name", sketched("text").alias("s")).select("row", "key", "name", "s.shingles", "s.bands"), "sketches")
-    # the first row of a text stands for its copies
-    nodes = materialize(stored.groupBy("name").agg(F.min("row").alias("node")), "nodes")
-    sets = stored.select(F.col("row").alias("node"), "shingles", "bands").join(nodes.select("node"), "node")
+    each = nodes.select("node", F.explode(numbers("shingles")).alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("k")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    alone = scratch.store(alone, "alone")
+    n = (F.length("shingles") / STORED).cast("bigint")
+    return nodes.join(alone, "node", "left").select("node", "shingles", n.alias("n"), (n - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def linked_nodes(stored: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, part) of the rows of ``stored`` (node, shingles, bands), each of another text, that links join; part is the smallest node of those.
+
+    Nodes of one bucket (a band and its value) are candidates. A node that has fewer than SIMILAR of its shingles
+    in common with all other candidates together has no link and is left out; so is a pair of which one has too few
+    such shingles. The others are compared with a few pivots of each bucket, those that meet most others first; nodes that
+    a link has already joined to the pivot aren't. So a group of copies costs a pair for each member, not for each
+    two. Rounds with more pivots go on until, in every bucket, all nodes are joined or every two have been
+    compared or ruled out: no candidate pair is lost.
+    """
 
     @F.pandas_udf("array<long>")
     def numbers(bands: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(b, dtype="<i8") for b in bands])
 
-    exploded = sets.select("node", F.explode(numbers("bands")).alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    together = exploded.join(shared, "bucket").select("bucket", "node", "n")
+    exploded = scratch.store(stored.select("node", F.explode(numbers("bands")).alias("bucket")), "buckets")
+
+    def together(rows: DataFrame) -> DataFrame:
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        return rows.join(sizes, "bucket")
+
+    met = scratch.store(together(exploded).select("bucket", "node"), "met")
+    candidates = scratch.store(stored.select("node", "shingles").join(met.select("node").distinct(), "node"), "candidates")
+    sets = scratch.store(_shared(candidates, scratch).where(F.col("shared") >= F.lit(SIMILAR) * F.col("n") - 1e-9), "sets")
+    rows = scratch.store(together(met.join(sets.select("node", "n", "shared"), "node")), "rows")
     # the node that meets most others is compared first: of a group of copies that is the text they were made from
-    met = together.groupBy("node").agg(F.sum("n").alias("met"))
-    members = materialize(together.select("bucket", "node").join(met, "node").select("bucket", "node", "met"), "members")
+    rank = rows.groupBy("node").agg(F.sum("size").alias("met"))
+    members = scratch.store(rows.drop("size").join(rank, "node"), "members")
     sets = sets.select("node", "shingles")
 
-    links = None
-    tested = None
-    labels = None
+    links = tested = labels = None
     low, high = 0, PIVOTS[0]
     while True:
-        open_rows = members
-        if labels is not None:
-            named = members.join(labels, members.node == labels.id, "left").select("bucket", "node", "met", F.coalesce("component", "node").alias("part"))
-            mixed = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("bucket")
-            open_rows = materialize(named.join(mixed, "bucket"), "open")
-        else:
+        if labels is None:
             open_rows = members.withColumn("part", F.col("node"))
+        else:
+            named = members.join(labels, members.node == labels.id, "left").select(*members.columns, F.coalesce("component", "node").alias("part"))
+            mixed = named.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("bucket")
+            open_rows = scratch.store(named.join(mixed, "bucket"), "open")
         place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("met"), "node"))
-        ranked = open_rows.select("bucket", "node", "part", place.alias("place")).where(F.col("place") <= high).where(F.col("place") > low)
-        pivots = ranked.select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"))
-        pairs = open_rows.join(pivots, "bucket").where("part <> pa and node <> a")
+        ranked = open_rows.withColumn("place", place).where(F.col("place") <= high).where(F.col("place") > low)
+        pivots = ranked.select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+        enough = F.least("shared", "sa") >= F.lit(SIMILAR / (1 + SIMILAR)) * (F.col("n") + F.col("na")) - 1e-9
+        pairs = open_rows.join(pivots, "bucket").where((F.col("part") != F.col("pa")) & (F.col("node") != F.col("a")) & enough)
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(_links(pairs, sets), "links")
+        pairs = scratch.store(pairs, "pairs")
+        found = scratch.store(_links(pairs, sets), "links")
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
-        labels = materialize(connected_components(links, "a", "b"), "components")
+        labels = scratch.store(connected_components(links, "a", "b", scratch), "components")
         most = open_rows.groupBy("bucket").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
         if high >= most:
-            break
+            return labels.select(F.col("id").alias("node"), F.col("component").alias("part"))
         low, high = high, PIVOTS[1] if low == 0 else high * MORE_PIVOTS
-    joined = nodes.join(labels, nodes.node == labels.id, "left").select("name", F.coalesce("component", "node").alias("part"))
-    named = stored.select("key", "row", "name").join(joined, "name").select("key", "name", "row", "part")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, name, class_id, class_size, kept) for each row of ``docs``; name is the md5 of the text.
+
+    A class holds rows with equal texts and all that links of similarity SIMILAR or more join; class_id is its
+    smallest key (null first), and one row, of that key, is kept; of rows of one key that which comes first in the
+    table. Null texts count as empty; empty texts, and texts without words, are linked only to equal ones. Repeated
+    rows are copies. Texts are taken whole, however long. Other columns are left out, whatever their
+    names. An empty table gives an empty one. The result is stored.
+
+    Equal texts are one node throughout; see linked_nodes() for the links.
+    """
+    scratch = Scratch(docs.sparkSession)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    ).withColumn("name", F.md5("text"))
+
+    @F.pandas_udf("shingles binary, bands binary")
+    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sets, keys = sketch_texts(list(texts))
+            yield pd.DataFrame({"shingles": sets, "bands": keys})
+
+    stored = scratch.store(rows.select("row", "key", "name", sketched("text").alias("s")).select("row", "key", "name", "s.shingles", "s.bands"), "sketches")
+    # the first row of a text stands for its copies
+    nodes = scratch.store(stored.groupBy("name").agg(F.min("row").alias("node")), "nodes")
+    sets = stored.select(F.col("row").alias("node"), "shingles", "bands")
+    copies = scratch.store(stored.select("row", "name").join(nodes, "name").where("row <> node").select(F.col("row").alias("node")), "copies")
+    labels = linked_nodes(sets.join(F.broadcast(copies) if copies.count() <= SENT_ROWS else copies, "node", "left_anti"), scratch)
+    joined = nodes.join(labels, "node", "left").select("name", F.coalesce("part", "node").alias("part"))
+    named = scratch.store(stored.select("key", "row", "name").join(joined, "name").select("key", "name", "row", "part"), "named")
     classes = named.groupBy("part").agg(F.min(F.struct("key", "row")).alias("first"), F.count("*").alias("class_size"))
-    return named.join(classes, "part").select(
+    result = named.join(classes, "part").select(
         F.col("key").alias(key), "name", F.col("first.key").alias("class_id"), "class_size", (F.col("row") == F.col("first.row")).alias("kept")
     )
+    result = materialize(result, "classes")
+    scratch.free()
+    return result
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
