@@ -13,9 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from siftloom.operators.graph import connected_components
 from siftloom.session import Scratch, materialize, table
@@ -26,8 +26,6 @@ WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Bytes of a shingle's hash that are stored and compared: of a thousand million pairs of different shingles none is expected to look equal.
 STORED = 5
-#: Pivots of a bucket in the first and second round, and how the number grows from then on. Any numbers give the same result.
-PIVOTS, MORE_PIVOTS = (1, 16), 8
 #: Numbers of rows, at most, that are sent to all executors (8 bytes each); of more, both sides are shuffled.
 SENT_ROWS = 1_000_000
 #: Shingles that are sketched at once.
@@ -174,32 +172,64 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "xs", "ys").mapInPandas(verify, "a long, b long")
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _numbers(shingles: pd.Series) -> pd.Series:
+    return pd.Series([unpack_hashes(x).view(np.int64) for x in shingles])
+
+
 def _shared(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """``nodes`` (node, shingles) with n, the number of shingles, and shared, of those that another of the nodes has too.
 
     Shingles of one node alone are counted, so that no list of a shingle's nodes is ever made.
     """
-
-    @F.pandas_udf("array<long>")
-    def numbers(shingles: pd.Series) -> pd.Series:
-        return pd.Series([unpack_hashes(x).view(np.int64) for x in shingles])
-
-    each = nodes.select("node", F.explode(numbers("shingles")).alias("shingle"))
+    each = nodes.select("node", F.explode(_numbers("shingles")).alias("shingle"))
     alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("k")).where("k = 1").groupBy("node").agg(F.count("*").alias("alone"))
     alone = scratch.store(alone, "alone")
     n = (F.length("shingles") / STORED).cast("bigint")
     return nodes.join(alone, "node", "left").select("node", "shingles", n.alias("n"), (n - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
+def _least_common(n: Column, m: Column) -> Column:
+    """Shingles that two sets of these sizes have in common if their similarity is SIMILAR or more."""
+    return F.ceil(F.lit(SIMILAR / (1 + SIMILAR)) * (n + m) - 1e-9)
+
+
+def _pairs_by_rare_shingles(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b), a < b: every two ``nodes`` (node, shingles, part) of different parts that can be similar; exact.
+
+    Shingles are ordered by the number of nodes that have them. Two similar sets share one of their first shingles,
+    so early in both that the rest of either still holds what must be in common. Of a shingle's rows those of the part
+    that has most of them aren't paired with each other, so a large part costs a pair for each outsider alone.
+    """
+    each = scratch.store(nodes.select("node", F.explode(_numbers("shingles")).alias("shingle")), "shingles")
+    counts = each.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    lists = each.join(counts, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("rare"))
+    sized = nodes.select("node", "part", (F.length("shingles") / STORED).cast("bigint").alias("n"))
+    # the shingles of one node alone come first in its order
+    before = F.col("n") - F.size("rare")
+    first = F.greatest(F.lit(0), F.col("n") - F.ceil(F.lit(SIMILAR) * F.col("n") - 1e-9) + 1 - before).cast("int")
+    heads = lists.join(sized, "node").select("node", "part", "n", before.alias("before"), F.slice("rare", F.lit(1), first).alias("rare"))
+    rows = heads.select("node", "part", "n", "before", F.posexplode("rare").alias("at", "s")).select(
+        F.col("s.shingle").alias("shingle"), "node", "part", "n", (F.col("n") - F.col("before") - F.col("at")).alias("rest")
+    )
+    rows = scratch.store(rows, "rare")
+    by_part = rows.groupBy("shingle", "part").agg(F.count("*").alias("k"))
+    main = by_part.groupBy("shingle").agg(F.max_by("part", "k").alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    mixed = scratch.store(rows.join(main, "shingle"), "mixed")
+    left = mixed.where("part <> main").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "part", "n", "rest")))
+    right = mixed.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("node", "part", "n", "rest")))
+    able = (F.col("x_part") != F.col("y_part")) & (F.least("x_rest", "y_rest") >= _least_common(F.col("x_n"), F.col("y_n")))
+    return left.join(right, "shingle").where(able).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def linked_nodes(stored: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, part) of the rows of ``stored`` (node, shingles, bands), each of another text, that links join; part is the smallest node of those.
 
     Nodes of one bucket (a band and its value) are candidates. A node that has fewer than SIMILAR of its shingles
-    in common with all other candidates together has no link and is left out; so is a pair of which one has too few
-    such shingles. The others are compared with a few pivots of each bucket, those that meet most others first; nodes that
-    a link has already joined to the pivot aren't. So a group of copies costs a pair for each member, not for each
-    two. Rounds with more pivots go on until, in every bucket, all nodes are joined or every two have been
-    compared or ruled out: no candidate pair is lost.
+    in common with all other candidates together has no link and is left out. In each bucket the node that
+    meets most others is compared with all others. Nodes of buckets that this doesn't join to one part are then
+    compared wherever rare shingles don't rule out a link, whether they share a bucket or not. So a group of copies costs a pair for each member, not
+    for each two, and no candidate pair is lost.
     """
 
     @F.pandas_udf("array<long>")
@@ -216,37 +246,26 @@ def linked_nodes(stored: DataFrame, scratch: Scratch) -> DataFrame:
     candidates = scratch.store(stored.select("node", "shingles").join(met.select("node").distinct(), "node"), "candidates")
     sets = scratch.store(_shared(candidates, scratch).where(F.col("shared") >= F.lit(SIMILAR) * F.col("n") - 1e-9), "sets")
     rows = scratch.store(together(met.join(sets.select("node", "n", "shared"), "node")), "rows")
-    # the node that meets most others is compared first: of a group of copies that is the text they were made from
+    # the node that meets most others is the pivot: of a group of copies that is the text they were made from
     rank = rows.groupBy("node").agg(F.sum("size").alias("met"))
     members = scratch.store(rows.drop("size").join(rank, "node"), "members")
+    pivots = members.groupBy("bucket").agg(F.max(F.struct("met", -F.col("node"), "node", "n", "shared")).alias("p"))
+    pivots = pivots.select("bucket", F.col("p.node").alias("a"), F.col("p.n").alias("na"), F.col("p.shared").alias("sa"))
+    enough = F.least("shared", "sa") >= _least_common(F.col("n"), F.col("na"))
+    pairs = members.join(pivots, "bucket").where((F.col("node") != F.col("a")) & enough)
+    pairs = scratch.store(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "pairs")
     sets = sets.select("node", "shingles")
-
-    links = tested = labels = None
-    low, high = 0, PIVOTS[0]
-    while True:
-        if labels is None:
-            open_rows = members.withColumn("part", F.col("node"))
-        else:
-            named = members.join(labels, members.node == labels.id, "left").select(*members.columns, F.coalesce("component", "node").alias("part"))
-            mixed = named.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("bucket")
-            open_rows = scratch.store(named.join(mixed, "bucket"), "open")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("met"), "node"))
-        ranked = open_rows.withColumn("place", place).where(F.col("place") <= high).where(F.col("place") > low)
-        pivots = ranked.select("bucket", F.col("node").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-        enough = F.least("shared", "sa") >= F.lit(SIMILAR / (1 + SIMILAR)) * (F.col("n") + F.col("na")) - 1e-9
-        pairs = open_rows.join(pivots, "bucket").where((F.col("part") != F.col("pa")) & (F.col("node") != F.col("a")) & enough)
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.store(pairs, "pairs")
-        found = scratch.store(_links(pairs, sets), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = scratch.store(connected_components(links, "a", "b", scratch), "components")
-        most = open_rows.groupBy("bucket").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-        if high >= most:
-            return labels.select(F.col("id").alias("node"), F.col("component").alias("part"))
-        low, high = high, PIVOTS[1] if low == 0 else high * MORE_PIVOTS
+    links = scratch.store(_links(pairs, sets), "links")
+    labels = scratch.store(connected_components(links, "a", "b", scratch), "components")
+
+    named = members.join(labels, members.node == labels.id, "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    mixed = named.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("bucket")
+    open_nodes = named.join(mixed, "bucket").select("node", "part").distinct()
+    open_nodes = scratch.store(sets.join(open_nodes, "node"), "open")
+    more = scratch.store(_pairs_by_rare_shingles(open_nodes, scratch).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(scratch.store(_links(more, sets), "links"))
+    labels = scratch.store(connected_components(links, "a", "b", scratch), "components")
+    return labels.select(F.col("id").alias("node"), F.col("component").alias("part"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
