@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftloom.session import materialize, table
+from siftloom.session import materialize, private, table
 
 #: Width in samples of the images that hold payloads; payloads are multiples of it.
 WIDTH = 64
@@ -150,7 +150,8 @@ def store_texts(docs: DataFrame, text: str = "text", media: str = "media") -> Da
             yield pd.DataFrame({"n_bytes": [len(x) for x in raw], "media": [encode_pgm(i) if len(i) % 2 else encode_bmp(i) for i in images]})
 
     keep = [c for c in docs.columns if c not in ("n_bytes", media)]
-    return docs.select(*keep, stored(F.col(text)).alias("_s")).select(*keep, "_s.n_bytes", F.col("_s.media").alias(media))
+    (own,) = private(docs, "_stored")
+    return docs.select(*keep, stored(F.col(text)).alias(own)).select(*keep, f"{own}.n_bytes", F.col(f"{own}.media").alias(media))
 
 
 def media_features(stored: DataFrame, media: str = "media") -> DataFrame:
@@ -177,7 +178,8 @@ def media_features(stored: DataFrame, media: str = "media") -> DataFrame:
             yield pd.DataFrame([features(x) for x in images], columns=list(made)).astype({k: "Int64" for k in ("payload_bytes", "tail_crc32", "media_bytes")})
 
     keep = [c for c in stored.columns if c not in made]
-    return stored.select(*keep, read(F.col(media)).alias("_f")).select(*keep, *(F.col(f"_f.{c}").alias(c) for c in made))
+    (own,) = private(stored, "_features")
+    return stored.select(*keep, read(F.col(media)).alias(own)).select(*keep, *(F.col(f"{own}.{c}").alias(c) for c in made))
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,10 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftloom.session import table
+from siftloom.session import private, table
 
 DIM, GRAM, SEED = 1024, 3, 20240601
-#: Letters share this many symbols (a prime, so that Latin blocks stay apart); symbol 0 is the word break.
+#: Letters share this many symbols (a prime, so that Latin blocks stay apart; letters of other scripts meet them in symbols,
+#: and are told apart by their runs alone); symbol 0 is the word break.
 SYMBOLS = 193
 #: Texts of about so many symbols are bundled in one matrix product.
 BATCH_SYMBOLS = 100_000
@@ -106,7 +107,8 @@ class Profiles:
 def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS, key: str = "doc_id") -> Profiles:
     """Prototypes from about ``train_rows`` texts of each language, taken by a hash of ``key``.
 
-    Rows with a null text or language teach nothing. The bound is on the training sample alone.
+    Rows with a null text or language teach nothing, nor do rows with a null key; repeated rows teach each; other columns
+    aren't read. An empty table gives profiles of no language. The bound is on the training sample alone.
     What reaches the driver is one row of numbers for each language and task.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -142,8 +144,8 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFram
     """``docs`` with lang_pred, score (cosine with that prototype, 0 to 1) and margin over the next language.
 
     lang_pred is ``und`` and score 0 where the text is null, empty or without letters, or where nothing
-    was learned. Ties go to the first language by name. Columns of these names are replaced, all others kept;
-    repeated rows and repeated ids are each judged on their own. An empty table gives an empty table.
+    was learned. Ties go to the first language by name. Texts are read whole, however long. Columns of these names are
+    replaced, all others kept; repeated rows and repeated ids are each judged on their own. An empty table gives an empty table.
     """
     made = ("lang_pred", "score", "margin")
     keep = [c for c in docs.columns if c not in made]
@@ -171,7 +173,8 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFram
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from judge(s.to_frame(text) for s in batches)
 
-    return docs.select(*keep, judged(F.col(text)).alias("_j")).select(*keep, *(F.col(f"_j.{c}").alias(c) for c in made))
+    (own,) = private(docs, "_judged")
+    return docs.select(*keep, judged(F.col(text)).alias(own)).select(*keep, *(F.col(f"{own}.{c}").alias(c) for c in made))
 
 
 def held_out(key: str = "doc_id"):

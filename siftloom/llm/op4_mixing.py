@@ -126,10 +126,16 @@ def mix(docs: DataFrame, levels: tuple[str, ...], weights: dict[str, int], budge
 
 
 def with_levels(docs: DataFrame) -> DataFrame:
-    """documents with the tree's levels: a source's number modulo 4 is its domain. Tokens are words between spaces."""
+    """documents with the tree's levels: a source's number modulo 4 is its domain. Tokens are words between spaces.
+
+    Columns of the levels' names and ``tokens`` are replaced, others kept. A source without a number, or null, has the domain "?";
+    a null or empty text has no tokens.
+    """
+    made = {*LEVELS, "tokens"}
     number = F.regexp_extract(F.coalesce("source", F.lit("")), r"(\d{1,9})$", 1)
     return docs.select(
-        "*", F.when(number == "", "?").otherwise(F.concat(F.lit("d"), number.cast("int") % 4)).alias("domain"),
+        *(c for c in docs.columns if c not in made),
+        F.when(number == "", "?").otherwise(F.concat(F.lit("d"), number.cast("int") % 4)).alias("domain"),
         F.col("lang").alias("language"), F.col("source").alias("origin"),
         F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1).cast("bigint").alias("tokens"),
     )

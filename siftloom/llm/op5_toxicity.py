@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftloom.session import table
+from siftloom.session import private, table
 
 #: Expected number of example texts of each class; examples in a block; neighbours that vote.
 EXAMPLES, BLOCK, NEIGHBOURS = 2500, 64, 15
@@ -271,7 +271,8 @@ def score_texts(docs: DataFrame, index: Index, text: str = "text", threshold: fl
     """``docs`` with score (0 to 1), predicted (1 from ``threshold`` on) and evidence (ids of the nearest examples).
 
     Null and empty texts, and texts without a term of the index, have no neighbours and get the share of
-    label 1 among such examples. Columns of those names are replaced. Ties go by place in the index.
+    label 1 among such examples. Texts are read whole; repeated rows have equal scores. Columns of those names are
+    replaced, others kept. Ties go by place in the index. An empty table gives an empty one.
     """
     made = ("score", "predicted", "evidence")
     keep = [c for c in docs.columns if c not in made]
@@ -296,8 +297,10 @@ def score_texts(docs: DataFrame, index: Index, text: str = "text", threshold: fl
                 evidence.append(seen[t][1])
             yield pd.DataFrame({"score": scores, "evidence": evidence})
 
-    scored = docs.select(*keep, judge(F.col(text)).alias("_j"))
-    return scored.select(*keep, "_j.score", (F.col("_j.score") >= threshold).cast("int").alias("predicted"), F.col("_j.evidence").alias("evidence"))
+    (own,) = private(docs, "_judged")
+    scored = docs.select(*keep, judge(F.col(text)).alias(own))
+    score = F.col(f"{own}.score")
+    return scored.select(*keep, score.alias("score"), (score >= threshold).cast("int").alias("predicted"), F.col(f"{own}.evidence").alias("evidence"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

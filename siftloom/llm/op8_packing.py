@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from siftloom.llm.words import fast_tokenizer
-from siftloom.session import materialize, table
+from siftloom.session import materialize, private, table
 
 CAPACITY, END_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
@@ -87,8 +87,8 @@ def plan_best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
 def token_pieces(docs: DataFrame, vocabulary: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Adds piece, start, length and ids_crc32: each text's ids and an end id, cut at every ``capacity`` ids.
 
-    A null or empty text is the end id alone. Columns of those names are replaced, others kept and
-    repeated for each piece.
+    A null or empty text is the end id alone; texts are encoded whole, as the tokenizers library does it. Columns of those
+    names are replaced, others kept and repeated for each piece; repeated rows are separate documents. An empty table gives an empty one.
     """
     import public_tokenizers
 
@@ -107,7 +107,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, text: str = "text", capacity:
             yield pd.Series(out)
 
     keep = [c for c in docs.columns if c not in ("piece", "start", "length", "ids_crc32")]
-    return docs.select(*keep, F.explode(pieces(F.col(text))).alias("_p")).select(*keep, "_p.*")
+    (own,) = private(docs, "_piece")
+    return docs.select(*keep, F.explode(pieces(F.col(text))).alias(own)).select(*keep, f"{own}.*")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -115,31 +116,26 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Ranks within a length come from salted groups: rows meet only with those of their length and salt,
     and the salts' sizes, added up, give where each starts. So a length that very many pieces share is
-    ranked in many tasks. Repeated rows are separate pieces. An empty table gives an empty table.
+    ranked in many tasks; the salt is a row's number in the table, so that rows of one id are dealt out too. Repeated rows
+    are separate pieces, null ids and ties in any order. Columns of the two names are replaced, others kept, whatever their
+    names. An empty table gives an empty table.
     """
     spark = pieces.sparkSession
     cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    row, salt, before, size, rank, from_, to, first, offset, length = private(pieces, "_row", "_salt", "_before", "_size", "_rank", "_from", "_to", "_first", "_offset", "_length")
     rows = pieces.select(*cols)
     counts = rows.groupBy("length").count().collect()  # one row for each length, at most ``capacity`` of them
     histogram = {r[0]: r[1] for r in counts}
-    plan = spark.createDataFrame(plan_best_fit(histogram, capacity), PLAN)
+    plan = spark.createDataFrame(plan_best_fit(histogram, capacity), PLAN).toDF(length, from_, to, first, offset)
     salts = max([1, *(-(-n // RANK_GROUP) for n in histogram.values())])
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).select(
-        "length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
-    ranked = (
-        salted.withColumn("_row", F.row_number().over(within) - 1)
-        .join(starts, ["length", "_salt"])
-        .withColumn("_rank", F.col("_before") + F.col("_row"))
-    )
+    salted = rows.withColumn(row, F.monotonically_increasing_id()).withColumn(salt, F.pmod(F.xxhash64(row), F.lit(salts)))
+    earlier = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    starts = salted.groupBy("length", salt).agg(F.count("*").alias(size)).select("length", salt, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before))
+    within = Window.partitionBy("length", salt).orderBy(row)
+    ranked = salted.withColumn(rank, F.row_number().over(within) - 1).join(starts, ["length", salt]).withColumn(rank, F.col(before) + F.col(rank))
     # the plan has a bounded number of rows: runs of equal lengths in runs of equal fills
-    slots = F.broadcast(plan.withColumnRenamed("length", "_length"))
-    return ranked.join(slots, (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("rank_from")) & (F.col("_rank") < F.col("rank_to"))).select(
-        *cols, (F.col("first_sequence") + F.col("_rank") - F.col("rank_from")).alias("sequence_id"), "offset"
-    )
+    slot = (F.col("length") == F.col(length)) & (F.col(rank) >= F.col(from_)) & (F.col(rank) < F.col(to))
+    return ranked.join(F.broadcast(plan), slot).select(*cols, (F.col(first) + F.col(rank) - F.col(from_)).alias("sequence_id"), F.col(offset).alias("offset"))
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
