@@ -1,6 +1,8 @@
 """From documents to packed training sequences: five stages, each a table written and read again.
 
-Each stage takes (spark, docs, sf_dir) and gives a DataFrame. All but the last give the columns of documents.
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame. All but the last give the columns of documents; of an empty
+table they give an empty one. Null texts are empty, texts are taken whole, and columns besides those of documents stay, whatever
+their names. What each operator does with nulls, ties and repeated rows stands in its own description.
 """
 
 from __future__ import annotations
@@ -13,17 +15,16 @@ from siftloom.llm.op3_probminhash import near_duplicates
 from siftloom.llm.op4_mixing import BUDGET_PER_MILLE, LEVELS, MAX_EPOCHS, WEIGHTS, mix, with_levels
 from siftloom.llm.op6_line_join import remove_lines
 from siftloom.llm.op8_packing import VOCABULARY, pack, token_pieces
-from siftloom.session import materialize, prepare, table
+from siftloom.session import materialize, prepare, private, table
 
 #: Texts of a lower cosine with every language are rejected. Texts of one or two words lie above it.
 LEAST_COSINE = 0.05
 
-#: Names a document beside its id, in case ids repeat.
-_NAME = "_stage_name"
 
-
-def _named(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_NAME, F.md5(F.coalesce("text", F.lit(""))))
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that names a document beside its id, in case ids repeat, and that column's name."""
+    (name,) = private(docs, "_name")
+    return docs.withColumn(name, F.md5(F.coalesce("text", F.lit("")))), name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,22 +42,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near-duplicates, that of the smallest id."""
+    """Keeps one document of each class of near-duplicates, that of the smallest id. Of repeated rows one stays."""
     prepare(spark)
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("name").alias("_text"))
-    named = _named(docs)
-    rows = named.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(_NAME) == F.col("_text")), "left_semi")
-    return rows.dropDuplicates(["doc_id", _NAME]).select(*docs.columns)
+    named, name = _named(docs)
+    of_key, of_name = private(named, "_of_key", "_of_name")
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(of_key), F.col("name").alias(of_name))
+    rows = named.join(kept, F.col("doc_id").eqNullSafe(F.col(of_key)) & (F.col(name) == F.col(of_name)), "left_semi")
+    return rows.dropDuplicates(["doc_id", name]).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Selects documents to the sources' target weights; a document of two epochs comes twice. Documents stay whole."""
+    """Selects documents to the sources' target weights; a document of two epochs comes twice. Documents stay whole.
+
+    Rows of equal id and text are selected alike. A null language or source is one of its own.
+    """
     prepare(spark)
-    keyed = _named(docs).withColumn(_NAME, F.concat_ws(":", F.col("doc_id").cast("string"), _NAME))
-    levels = materialize(with_levels(keyed).select(_NAME, *LEVELS, "tokens"), "levels")
-    chosen = mix(levels, LEVELS, WEIGHTS, BUDGET_PER_MILLE, MAX_EPOCHS, key=_NAME).groupBy(_NAME).agg(F.max("copies").alias("_copies"))
-    rows = keyed.join(chosen.where("_copies > 0"), _NAME)
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    named, name = _named(docs)
+    keyed = named.withColumn(name, F.concat_ws(":", F.col("doc_id").cast("string"), name))
+    levels = with_levels(keyed.select(F.col(name).alias("name"), "text", "lang", "source")).select("name", *LEVELS, "tokens")
+    chosen = mix(materialize(levels, "levels"), LEVELS, WEIGHTS, BUDGET_PER_MILLE, MAX_EPOCHS, key="name").groupBy("name").agg(F.max("copies").alias("copies"))
+    of_name, copies, copy = private(keyed, "_of_name", "_copies", "_copy")
+    chosen = chosen.where("copies > 0").toDF(of_name, copies)
+    rows = keyed.join(chosen, F.col(name) == F.col(of_name))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
