@@ -10,7 +10,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words that a worker remembers; the memory starts afresh beyond it.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 #: Longest word, with its punctuation, that is remembered.
 LONGEST = 64
 
