@@ -44,15 +44,23 @@ def part_tags(tags: Column, sep: str) -> Column:
 
 
 def caption(parts: dict[str, Column], row: Column, probs: dict[str, float] | None = None, sep: str = ", ", keep_before: str | None = None, keep_sep: str | None = None, seed: int = 0) -> Column:
-    """Parts in order, each with its probability (1 unless given), drawn by a hash of the row; null parts are left out.
+    """Parts in order, each with its probability (1 unless given), drawn by a hash of the row; null and empty parts are left out.
 
-    ``keep_before``: the part before which ``keep_sep`` stands.
+    ``keep_before``: the part before which ``keep_sep`` stands, if there is something on both sides.
     """
     probs = probs or {}
-    out = F.lit("")
-    for name, part in parts.items():
+
+    def drawn(name: str, part: Column) -> Column:
         p = probs.get(name, 1.0)
-        there = part.isNotNull() if p >= 1 else F.lit(False) if p <= 0 else part.isNotNull() & (uniform(row, F.lit(name), seed) < p)
-        between = keep_sep if name == keep_before and keep_sep is not None else sep
-        out = F.when(there, F.concat(out, F.when(out != "", between).otherwise(""), part)).otherwise(out)
-    return out
+        return part if p >= 1 else F.lit(None).cast("string") if p <= 0 else F.when(uniform(row, F.lit(name), seed) < p, part)
+
+    def joined(columns: list[Column], between: str) -> Column:
+        return F.array_join(F.filter(F.array(*columns), lambda x: x != ""), between) if columns else F.lit("")
+
+    names = list(parts)
+    shown = [drawn(name, part.cast("string")) for name, part in parts.items()]
+    if keep_before not in names or keep_sep is None:
+        return joined(shown, sep)
+    at = names.index(keep_before)
+    sides = [joined(shown[:at], sep), joined(shown[at:], sep)]
+    return F.when(F.coalesce(shown[at], F.lit("")) != "", joined(sides, keep_sep)).otherwise(joined(sides, sep))

@@ -50,8 +50,8 @@ def sanitize(path: Column) -> Column:
 
 
 def strip_number(folder: Column) -> Column:
-    """A class folder's name without its number."""
-    return F.regexp_replace(folder, r"^\d+_", "")
+    """A class folder's name without its number, dashes around it included."""
+    return F.regexp_replace(folder, r"^-*\d+-*_", "")
 
 
 def natural_key(path: Column) -> Column:

@@ -98,7 +98,8 @@ def overwrite_tags(old: Column, new: Column, force: bool) -> Column:
 
 
 def _folded(tag: Column) -> Column:
-    return F.split(F.lower(tag), r"[\s_]+", -1)
+    """The words of a tag, without empty ones."""
+    return F.filter(F.split(F.lower(tag), r"[\s_]+", -1), lambda x: x != "")
 
 
 def has_suffix(tag: Column, suffix: str) -> Column:

@@ -132,15 +132,11 @@ def assign_if_consistent(labels: DataFrame, candidates: DataFrame, known: DataFr
     return labels.join(taken, "item", "left").select("item", F.coalesce("taken", "label").alias("label"))
 
 
-def rescue_noise(labels: DataFrame, distances: DataFrame, known: DataFrame, same: float, least_share: float, least_count: int) -> DataFrame:
+def rescue_noise(labels: DataFrame, by_label: DataFrame, known: DataFrame, least_share: float, least_count: int) -> DataFrame:
     """(item, label): noise rows take the label of least mean distance if enough of its members are the same; else their only known character; else -1.
 
-    ``distances``: (src, dst, dist) of noise rows to labelled rows. All are judged against the labels given.
+    ``by_label``: (src, to, d, count, share) of noise rows, of similar.distances_to_groups(). All are judged against the labels given.
     """
-    noise = labels.where("label = -1").select(F.col("item").alias("src"))
-    members = labels.where("label >= 0").select(F.col("item").alias("dst"), F.col("label").alias("to"))
-    near = (F.col("dist") <= same).cast("double")
-    by_label = distances.join(noise, "src").join(members, "dst").groupBy("src", "to").agg(F.avg("dist").alias("d"), F.sum(near).alias("count"), F.avg(near).alias("share"))
     best = by_label.groupBy("src").agg(F.min(F.struct("d", "to", "count", "share")).alias("b"))
     found = best.where((F.col("b.share") >= least_share) | (F.col("b.count") >= least_count)).select(F.col("src").alias("item"), F.col("b.to").alias("found"))
     only = known.groupBy("item").agg(F.min("character").alias("only"), F.count("*").alias("n")).where("n = 1").select("item", "only")

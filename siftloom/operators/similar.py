@@ -32,7 +32,9 @@ def similar_pairs(vectors: DataFrame, threshold: float, item: str = "item", vec:
 
     All pairs are compared exactly, a block of vectors against a block: each pair of blocks is one task's
     matrix product, and only pairs over the threshold leave it. A task holds two blocks of a bounded size.
+    Rows with a null vector have no pairs; repeated items have a pair for each of their rows.
     """
+    vectors = vectors.where(F.col(vec).isNotNull())
     n = vectors.count()
     blocks = max(1, -(-n // BLOCK))
     rows = _blocks(vectors, blocks, item, vec, scope)
@@ -57,6 +59,37 @@ def similar_pairs(vectors: DataFrame, threshold: float, item: str = "item", vec:
     return left.unionByName(right).groupBy("i", "j").applyInPandas(compare, f"src {kind}, dst {kind}, cos double")
 
 
+def distances_to_groups(vectors: DataFrame, labels: DataFrame, same: float, item: str = "item", vec: str = "vec", label: str = "label") -> DataFrame:
+    """(src, to, d, count, share) of each item of label -1 and each other label: mean cosine distance to the label's items,
+    number and share of those within ``same``.
+
+    Blocks of the two kinds of items are compared exactly; a task adds up distances by item and label before they leave it.
+    Rows with a null vector are left out.
+    """
+    rows = vectors.where(F.col(vec).isNotNull()).join(labels.select(F.col(item), F.col(label).alias("to")), item)
+    sizes = rows.groupBy((F.col("to") == -1).alias("noise")).count().collect()  # two rows
+    n = {r.noise: -(-r["count"] // BLOCK) for r in sizes}
+    block = F.pmod(F.xxhash64(item), F.when(F.col("to") == -1, n.get(True, 1)).otherwise(n.get(False, 1)))
+    sent = rows.select(F.col(item).alias("item"), F.col(vec).alias("vec"), "to", block.alias("block"))
+    noise = sent.where("to = -1").select("item", "vec", "to", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(n.get(False, 1) - 1))).alias("j"))
+    others = sent.where("to <> -1").select("item", "vec", "to", F.explode(F.sequence(F.lit(0), F.lit(n.get(True, 1) - 1))).alias("i"), F.col("block").alias("j"))
+    kind = vectors.schema[item].dataType.simpleString()
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["to"] == -1], pdf[pdf["to"] != -1]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"src": [], "to": [], "n": [], "total": [], "near": []})
+        dist = 1 - _matrix(a["vec"]) @ _matrix(b["vec"]).T
+        names, at = np.unique(b["to"].to_numpy(), return_inverse=True)
+        member = np.eye(len(names))[at]
+        out = {"n": np.broadcast_to(member.sum(axis=0), (len(a), len(names))), "total": dist @ member, "near": (dist <= same) @ member}
+        return pd.DataFrame({"src": np.repeat(a["item"].to_numpy(), len(names)), "to": np.tile(names, len(a)), **{k: v.ravel() for k, v in out.items()}})
+
+    parts = noise.unionByName(others).groupBy("i", "j").applyInPandas(add, f"src {kind}, to long, n double, total double, near double")
+    sums = parts.groupBy("src", "to").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("near").alias("count"))
+    return sums.select("src", "to", (F.col("total") / F.col("n")).alias("d"), "count", (F.col("count") / F.col("n")).alias("share"))
+
+
 def reference_distances(items: DataFrame, refs: DataFrame, item: str = "item", ref: str = "ref", vec: str = "vec") -> DataFrame:
     """(item, ref, dist) of every item and reference, dist = 1 - cosine.
 

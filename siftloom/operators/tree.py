@@ -11,10 +11,10 @@ from siftloom.session import materialize
 def page_edges(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """(page, parent, child, is_tag) of headings and list links of each page.
 
-    A heading h1 to h6 is a group below the last heading of a lower number; a link in a list belongs to the last
-    heading before it. What follows a heading "See also" is left out.
+    A heading h1 to h6 is a group below the last heading of a lower number; the first link of a list item belongs to
+    the last heading before it; an item without a link gives nothing. What follows a heading "See also" is left out.
     """
-    token = r"(?is)<h([1-6])[^>]*>(.*?)</h[1-6]>|<li[^>]*>.*?<a[^>]*>(.*?)</a>"
+    token = r"(?is)<h([1-6])[^>]*>(.*?)</h[1-6]>|<li\b[^>]*>[^<]*+(?:<(?!/?li\b|h[1-6]\b|a\b)[^<]*+)*+<a\b[^>]*>(.*?)</a>"
     found = pages.select(
         F.col(page).alias("page"),
         F.posexplode(F.arrays_zip(*(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(token), F.lit(i)).alias(n) for i, n in enumerate(("all", "level", "title", "link"))))).alias("pos", "x"),

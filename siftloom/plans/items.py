@@ -125,11 +125,9 @@ def captions(spark, sf_dir):
     """Captions of all items after pruning."""
     items = V.items(spark, sf_dir)
     pruned = G.sort_tags(G.drop_blacklisted(G.remove_underscore(F.col("tags")), F.array(*map(F.lit, BLACKLIST))), "score")
-    characters = C.part_characters(F.col("characters"), " and ")
-    tags = C.part_tags(pruned, ", ")
     parts = {
-        "npeople": C.part_npeople(F.size("characters")), "characters": F.when(characters != "", characters), "type": F.col("type"),
-        "rating": C.part_rating(F.col("rating")), "crop": C.part_crop(F.lit("part"), F.col("doc_id") % 4 != 0), "tags": F.when(tags != "", tags),
+        "npeople": C.part_npeople(F.size("characters")), "characters": C.part_characters(F.col("characters"), " and "), "type": F.col("type"),
+        "rating": C.part_rating(F.col("rating")), "crop": C.part_crop(F.lit("part"), F.col("doc_id") % 4 != 0), "tags": C.part_tags(pruned, ", "),
     }
     return items.select("item_id", C.caption(parts, F.col("item_id")).alias("caption"))
 

@@ -146,9 +146,7 @@ select lab.item, case when label >= 0 then label else coalesce(target, one, -1)
 def noise_rescue(spark, sf_dir):
     v, edges = vectors(spark, sf_dir), _edges(spark, sf_dir)
     labels = _labels(spark, sf_dir, edges)
-    d = S.similar_pairs(v, -2.0).select("src", "dst", (1 - F.col("cos")).alias("dist"))
-    d = d.union(d.select("dst", "src", "dist"))
-    return K.rescue_noise(labels, d, known(spark, sf_dir), 0.75, 0.02, 3)
+    return K.rescue_noise(labels, S.distances_to_groups(v, labels, 0.75), known(spark, sf_dir), 0.02, 3)
 
 
 @query("label_filter", f"""with {_E}, s as (select label, count(*) as size from vec group by label),

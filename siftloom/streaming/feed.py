@@ -46,11 +46,14 @@ def quota_marks(stream: DataFrame, row: str, keys: str, order: str, limit: int)
 
     State is one number for each key. Rows are counted in order of ``order`` within a micro-batch and by batch
     across batches. A row passes if any of its marks is true: quota_sink() puts them together for each batch.
+    A row without keys has one mark, which is true.
     """
+    keyless = stream.where(F.coalesce(F.size(keys), F.lit(0)) < 1).select(F.col(row).cast("long").alias("row"), F.lit(True).alias("below"))
     exploded = stream.select(F.col(row).cast("long").alias("row"), F.col(order).cast("long").alias("ord"), F.explode(keys).alias("key"))
     # a key that a row names twice is counted twice, but marked once
     occ = exploded.withColumn("occ", F.lit(1).cast("long"))
-    return occ.groupBy("key").transformWithStateInPandas(_Count(limit), "row long, below boolean", outputMode="Append", timeMode="None")
+    marks = occ.groupBy("key").transformWithStateInPandas(_Count(limit), "row long, below boolean", outputMode="Append", timeMode="None")
+    return marks.union(keyless)
 
 
 def quota_sink(marks: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str):

@@ -82,3 +82,54 @@ def test_titles(spark):
     files = ["[Group] Some Title - Another Part - 07 (1080p) [ABCD].mkv", "[Group] Only Title.mkv", "[G] Only Title - No Number.mkv"]
     got = spark.createDataFrame([(f,) for f in files], "f string").select(N.parse_title(F.col("f")).alias("t")).collect()
     assert [(r.t.name, r.t.episode) for r in got] == [("Some Title - Another Part", 7), ("Only Title", None), ("Only Title", None)]
+
+
+def test_caption_separators(spark):
+    from siftloom.functions import captions as C
+
+    rows = [("1person", "a and b", None, "x, y"), (None, "a", "", "x"), ("2people", None, "t", ""), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "n string, c string, t string, g string")
+    parts = {k: F.col(k) for k in ("n", "c", "t", "g")}
+    plain, kept = C.caption(parts, F.lit(1)), C.caption(parts, F.lit(1), keep_before="g", keep_sep=" ||| ")
+    got = df.select(plain.alias("p"), kept.alias("k")).collect()
+    assert [r.p for r in got] == ["1person, a and b, x, y", "a, x", "2people, t", ""]
+    assert [r.k for r in got] == ["1person, a and b ||| x, y", "a ||| x", "2people, t", ""]
+    assert df.select(C.caption(parts, F.lit(1), probs={"c": 0.0}).alias("p")).first().p == "1person, x, y"
+
+
+def test_names_and_tags(spark):
+    from siftloom.functions.tags import has_prefix, has_suffix
+
+    got = spark.createDataFrame([("3_cat",), ("-1_noise",), ("12-_x_1",), ("cat",)], "f string").select(N.strip_number(F.col("f")).alias("f")).collect()
+    assert [r.f for r in got] == ["cat", "noise", "x_1", "cat"]
+    tags = spark.createDataFrame([("long hair ",), ("_long_hair",), ("hairy",)], "t string")
+    got = tags.select(has_suffix(F.col("t"), "hair").alias("s"), has_prefix(F.col("t"), "long").alias("p")).collect()
+    assert [(r.s, r.p) for r in got] == [(True, True), (True, True), (False, False)]
+
+
+def test_page_edges(spark):
+    from siftloom.operators.tree import page_edges
+
+    html = "<h2>A</h2><ul><li>plain</li></ul><h2>B</h2><ul><li>see <b>the</b> <a href='x'>x</a></li><li><a>y</a><ul><li><a>z</a></li></ul></li></ul><h3>C</h3><li><a>w</a></li><h2>See also</h2><li><a>no</a></li>"
+    got = {(r.parent, r.child, r.is_tag) for r in page_edges(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")).collect()}
+    assert got == {("", "A", False), ("", "B", False), ("B", "x", True), ("B", "y", True), ("B", "z", True), ("B", "C", False), ("C", "w", True)}
+
+
+def test_noise_distances(spark):
+    random.seed(9)
+    rows = [(i, [random.random() - 0.5 for _ in range(4)]) for i in range(30)] + [(30, None)]
+    labels = {i: random.choice([-1, 0, 1]) for i in range(31)}
+    v = spark.createDataFrame(rows, "item long, vec array<double>")
+    got = {(r.src, r.to): (r.d, r["count"]) for r in M.distances_to_groups(v, spark.createDataFrame(list(labels.items()), "item long, label long"), 0.9).collect()}
+
+    def dist(a, b):
+        return 1 - sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+
+    want = {}
+    for i, a in rows[:30]:
+        for to in (0, 1):
+            if labels[i] == -1:
+                d = [dist(a, b) for j, b in rows[:30] if labels[j] == to]
+                want[i, to] = (pytest.approx(sum(d) / len(d)), sum(x <= 0.9 for x in d))
+    assert got == want
+    assert M.similar_pairs(v, 2.0).count() == 0
