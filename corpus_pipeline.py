@@ -77,7 +77,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixture", mixture), ("packing", packing),
 ]
-#: Language vectors, ProbMinHash and tokenizers are beyond SQL; the stages are tested against brute force.
+#: Language vectors, ProbMinHash and tokenizers are beyond SQL; line removal, near-duplicates and packing are tested against plain Python.
 ORACLE_SQL = None
 
 
