@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from siftloom.llm import op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op6_line_join, op7_fingerprints, op8_packing, op9_token_files, op10_media, op11_prefix_trie, op13_resampling
+from siftloom.llm import op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op6_line_join, op7_fingerprints, op8_packing, op9_token_files, op10_media, op11_prefix_trie, op12_divergence, op13_resampling
 
-MODULES: list = [op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op6_line_join, op7_fingerprints, op8_packing, op9_token_files, op10_media, op11_prefix_trie, op13_resampling]
+MODULES: list = [op1_language, op2_secrets, op3_probminhash, op4_mixing, op5_toxicity, op6_line_join, op7_fingerprints, op8_packing, op9_token_files, op10_media, op11_prefix_trie, op12_divergence, op13_resampling]
 
 
 def queries() -> dict:
