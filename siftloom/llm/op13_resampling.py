@@ -240,7 +240,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The draw from documents toward the texts of benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     gains = bucket_gains(bucket_counts(docs), bucket_counts(table(spark, sf_dir, "benchmark")))
-    return draw(weigh(docs, gains)).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+    return draw(materialize(weigh(docs, gains), "weights")).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
 SQL: dict[str, str] = {}
