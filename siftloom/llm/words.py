@@ -107,9 +107,10 @@ class FastTokenizer:
         words = text.split()
         if not self.keeps_space:
             return words
-        # single spaces and line ends alone part words; if anything else does, there are not as many
-        pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
-        return pieces if len(pieces) == len(words) else None
+        # single spaces and line ends alone part words; if anything else does, or there are two in a row, the lists differ
+        if text.replace("\n", " ").split(" ") != words:
+            return None
+        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
