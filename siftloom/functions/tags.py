@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,20 +40,56 @@ def drop_blacklisted(tags: Column, blacklist: Column) -> Column:
     )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Longest name whose parts are listed; a longer one is searched for each name instead.
+LISTED = 48
+
+
+def proper_parts(names: Column) -> Column:
+    """Those of an array's distinct names that are a proper part of another one.
+
+    All parts of the names are listed, about half the square of a name's length for each, and met with the names by hash: the work
+    grows with the number of names, not with its square. Only names over ``LISTED`` characters are compared with each other name.
+    """
+    none = F.array().cast("array<string>")
+
+    def parts(u: Column) -> Column:
+        n = F.length(u)
+        of_length = lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda at: F.substring(u, at, k))
+        return F.when((n > 1) & (n <= LISTED), F.flatten(F.transform(F.sequence(F.lit(1), n - 1), of_length))).otherwise(none)
+
+    def found(all_names: Column) -> Column:
+        short = F.array_intersect(all_names, F.flatten(F.transform(all_names, parts)))
+        of_long = lambda long: F.when(F.size(long) > 0, F.filter(all_names, lambda t: F.exists(long, lambda u: u.contains(t) & (u != t)))).otherwise(none)
+        return F.array_union(short, once(F.filter(all_names, lambda u: F.length(u) > LISTED), of_long))
+
+    return once(F.array_distinct(F.filter(names, lambda t: t.isNotNull())), found)
+
+
 def drop_overlap(tags: Column, partners: Column) -> Column:
     """Drops a tag if a partner of it is there, or if it is a proper part of another tag. Both look at all tags given.
 
     ``partners``: map<tag with underscores, array of tags with underscores>.
     """
-    names = F.transform(tags, lambda t: t["tag"])
-    lined = F.transform(names, lambda t: F.replace(t, F.lit(" "), F.lit("_")))
 
-    def kept(t: Column) -> Column:
-        others = F.element_at(partners, F.replace(t["tag"], F.lit(" "), F.lit("_")))
-        paired = F.coalesce(F.arrays_overlap(others, lined), F.lit(False))
-        return ~paired & ~F.exists(names, lambda u: u.contains(t["tag"]) & (u != t["tag"]))
+    def kept(ts: Column, seen: Column) -> Column:
+        def stays(t: Column) -> Column:
+            others = F.element_at(partners, F.replace(t["tag"], F.lit(" "), F.lit("_")))
+            paired = F.coalesce(F.arrays_overlap(others, seen["lined"]), F.lit(False))
+            return ~paired & ~F.coalesce(F.array_contains(seen["parts"], t["tag"]), F.lit(False))
+
+        return F.filter(ts, stays)
+
+    def looked(ts: Column) -> Column:
+        names = F.transform(ts, lambda t: t["tag"])
+        lined = F.array_distinct(F.transform(ts, lambda t: F.replace(t["tag"], F.lit(" "), F.lit("_"))))
+        return once(F.struct(lined.alias("lined"), proper_parts(names).alias("parts")), lambda seen: kept(ts, seen))
 
-    return F.filter(tags, kept)
+    return once(tags, looked)
 
 
 def sort_tags(tags: Column, mode: str = "score", row: Column | None = None, seed: int = 0) -> Column:

@@ -77,10 +77,13 @@ def prune_tags(tags: Column, characters: Column, mode: str, blacklist: Column, p
     if mode == "minimal":
         return F.struct(kept.alias("kept"), none.alias("dropped"))
     has = F.coalesce(F.size(characters) > 0, F.lit(False))
-    return F.struct(
-        F.when(has, F.filter(kept, lambda t: ~is_character(t["tag"]))).otherwise(kept).alias("kept"),
-        F.when(has, F.filter(kept, lambda t: is_character(t["tag"]))).alias("dropped"),
-    )
+
+    def parted(x: Column) -> Column:
+        marked = F.transform(x, lambda t: F.struct(t.alias("t"), F.coalesce(is_character(t["tag"]), F.lit(False)).alias("of")))
+        of = lambda flag: G.once(marked, lambda m: F.transform(F.filter(m, lambda t: t["of"] == flag), lambda t: t["t"]))
+        return F.struct(F.when(has, of(False)).otherwise(x).alias("kept"), F.when(has, of(True)).alias("dropped"))
+
+    return G.once(kept, parted)
 
 
 def filter_v1(tags: Column, attire: Column, has_outfit: Column, drop_hair: bool = False, drop_eyes: bool = False, drop_outfit: bool = False, most: int | None = None) -> Column:
