@@ -5,13 +5,12 @@ Everything works on long tables: edges (src, dst, cos), labels (item, label; -1
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siftloom.operators.graph import connected_components
-from siftloom.session import materialize
+from siftloom.session import Scratch, materialize
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -48,58 +47,81 @@ def affinity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def merge_clusters(edges: DataFrame, labels: DataFrame, threshold: float, first: int = 0) -> DataFrame:
-    """(item, label) after greedy merging: in passes over x < y, y joins x if their affinity reaches the threshold.
+def merge_clusters(edges: DataFrame, labels: DataFrame, threshold: float, first: int = 0, known: DataFrame | None = None, n_known: int = 0, least: int = 0) -> DataFrame:
+    """(item, label) after greedy merging: in passes over x < y in order, y joins x if the share of their pairs with an edge reaches the threshold.
 
-    Counts of edges and sizes add up under a merge, so the passes run on the table of cluster pairs with an
-    edge between them; only those of one component of that table meet in a task. y is at least ``first``.
+    x is at least ``least``, y at least ``first``. With ``known`` (item, character) and x under ``n_known``, only items of y that are known to
+    show x move; the others keep their label, which takes no further part. Passes go on until one merges nothing.
+
+    Items of one label and equal known characters always move together, so all runs on their sizes and the counts of edges between
+    them, which add up. Clusters can only meet in a component of the graph of labels with a pair of such parts that reaches the threshold by itself,
+    since a union's share is a mean of its parts'. Components take their next merge all at once, one in each round of joins; none
+    meets in one task. Every item has one label; other rows of an item are as many items.
     """
-    pairs = affinity(edges, labels)
-    parts = connected_components(pairs, "x", "y")
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        size, same = {}, {}
-        for r in pdf.itertuples():
-            size[r.x], size[r.y] = r.size_x, r.size_y
-            same.setdefault(r.x, {})[r.y] = same.setdefault(r.y, {})[r.x] = r.n_same
-        to: dict = {}
-        changed = True
-        while changed:
-            changed = False
-            for x in sorted(size):
-                if x not in size:
-                    continue
-                for y in sorted(size):
-                    if y not in size or x not in size or y <= x or y < first:
-                        continue
-                    if same.get(x, {}).get(y, 0) / (size[x] * size[y]) >= threshold:
-                        for z, n in same.pop(y, {}).items():
-                            same[z].pop(y, None)
-                            if z != x:
-                                same[x][z] = same[z][x] = same[x].get(z, 0) + n
-                        size[x] += size.pop(y)
-                        to[y] = x
-                        changed = True
-        rows = [(y, x) for y, x in to.items()]
-        for i, (y, x) in enumerate(rows):
-            while x in to:
-                x = to[x]
-            rows[i] = (y, x)
-        return pd.DataFrame(rows, columns=["label", "target"])
-
-    moved = pairs.join(parts, pairs.x == parts.id).groupBy("component").applyInPandas(merge, "label long, target long")
-    return labels.join(moved, "label", "left").select("item", F.coalesce("target", "label").alias("label"))
+    spark = labels.sparkSession
+    scratch = Scratch(spark)
+    named = labels.select("item", F.col("label").cast("long").alias("label"))
+    if known is None:
+        marked = named.withColumn("shows", F.array().cast("array<long>"))
+    else:
+        # names that are labels of clusters are all that merging asks for
+        shown = known.select("item", F.col("character").cast("long").alias("character")).where(F.col("character") < n_known)
+        shown = shown.join(named.select(F.col("label").alias("character")).distinct(), "character").groupBy("item").agg(F.sort_array(F.collect_set("character")).alias("shows"))
+        marked = named.join(shown, "item", "left").withColumn("shows", F.coalesce("shows", F.array().cast("array<long>")))
+    part = F.concat_ws(":", F.col("label").cast("string"), F.array_join(F.col("shows").cast("array<string>"), ","))
+    items = scratch.store(marked.withColumn("part", part), "items")
+    live = items.where("label >= 0")
+    parts = scratch.store(live.groupBy("part", "label", "shows").agg(F.count("*").alias("size")), "parts")
+    ends = live.select("item", "part", "label")
+    both = edges.join(ends.toDF("src", "a", "la"), "src").join(ends.toDF("dst", "b", "lb"), "dst").where("la <> lb")
+    flipped = F.col("la") > F.col("lb")
+    counts = both.groupBy(*(F.when(flipped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a")))).agg(F.count("*").alias("n"))
+    sized = parts.select("part", "label", "size")
+    counts = scratch.store(counts.join(sized.toDF("a", "la", "na"), "a").join(sized.toDF("b", "lb", "nb"), "b"), "counts")
+    strong = connected_components(counts.where(F.col("n") / (F.col("na") * F.col("nb")) >= threshold), "la", "lb", scratch)
+    of_label = scratch.store(strong.select(F.col("id").alias("label"), "component"), "components")
+    counts = scratch.store(counts.join(of_label.toDF("la", "component"), "la").join(of_label.toDF("lb", "other"), "lb").where("component = other").select("component", "a", "b", "n"), "inner")
+    state = scratch.store(parts.join(of_label, "label").select("component", "part", "label", "shows", "size", F.lit(True).alias("live")), "state")
+    at = state.select("component", F.lit(-1).cast("long").alias("px"), F.lit(-1).cast("long").alias("py")).distinct()
+    while True:
+        alive = state.where("live").select("part", "label")
+        pairs = counts.join(alive.toDF("a", "la"), "a").join(alive.toDF("b", "lb"), "b").where("la <> lb")
+        pairs = pairs.groupBy("component", F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y")).agg(F.sum("n").alias("n"))
+        sizes = state.where("live").groupBy("label").agg(F.sum("size").alias("size"))
+        pairs = pairs.join(sizes.toDF("x", "nx"), "x").join(sizes.toDF("y", "ny"), "y")
+        ready = pairs.where((F.col("n") / (F.col("nx") * F.col("ny")) >= threshold) & (F.col("x") >= least) & (F.col("y") >= first)).join(at, "component")
+        # the next pair of this pass, or the first of the next
+        later = (F.col("x") > F.col("px")) | ((F.col("x") == F.col("px")) & (F.col("y") > F.col("py")))
+        at = scratch.store(ready.groupBy("component").agg(F.min(F.struct((~later).alias("again"), "x", "y")).alias("e")).select("component", F.col("e.x").alias("px"), F.col("e.y").alias("py")), "next")
+        if at.isEmpty():
+            break
+        moved = state.join(at, "component", "left")
+        gone = F.coalesce(F.col("live") & (F.col("label") == F.col("py")), F.lit(False))
+        moves = gone & (F.array_contains("shows", F.col("px")) | (F.col("px") >= n_known) if known is not None else F.lit(True))
+        state = scratch.store(moved.select("component", "part", F.when(moves, F.col("px")).otherwise(F.col("label")).alias("label"), "shows", "size", (F.col("live") & (~gone | moves)).alias("live")), "state")
+    ended = state.select("part", F.col("label").alias("target"))
+    out = materialize(items.join(ended, "part", "left").select("item", F.coalesce("target", "label").alias("label")), "merged")
+    scratch.free()
+    return out
 
 
 def cluster_to_reference(distances: DataFrame, labels: DataFrame, refs: DataFrame, same: float, least_share: float = 0.01) -> DataFrame:
+    """(label, ref_label, dist, share): reference_votes() of a table (item, ref, dist) of all items and references."""
+    mean = distances.join(labels.where("label >= 0"), "item").groupBy("label", "ref").agg(F.avg("dist").alias("m"))
+    return reference_votes(mean, refs, same, least_share)
+
+
+def reference_votes(means: DataFrame, refs: DataFrame, same: float, least_share: float = 0.01, mode: str = "min") -> DataFrame:
     """(label, ref_label, dist, share): the reference label of least distance for each cluster, if enough of its references are near.
 
-    A reference's distance to a cluster is the mean over members; a label's is the least over its references;
-    ``share`` is that of the label's references within ``same``. Ties go to the lower label.
+    ``means``: (label, ref, m), the mean distance of a reference to a cluster's members, as of similar.group_distances(); ``refs``: (ref, ref_label).
+    A label's distance is the least (``min``) or the mean (``avg``) over its references; ``share`` is that of the label's references within
+    ``same``. Ties go to the lower label.
     """
-    mean = distances.join(labels.where("label >= 0"), "item").groupBy("label", "ref").agg(F.avg("dist").alias("m"))
-    by_label = mean.join(refs.select("ref", "ref_label"), "ref").groupBy("label", "ref_label").agg(
-        F.min("m").alias("dist"), F.avg((F.col("m") <= same).cast("double")).alias("share")
+    if mode not in ("min", "avg"):
+        raise ValueError(f"no such mode: {mode}")
+    by_label = means.join(refs.select("ref", "ref_label"), "ref").groupBy("label", "ref_label").agg(
+        (F.min("m") if mode == "min" else F.avg("m")).alias("dist"), F.avg((F.col("m") <= same).cast("double")).alias("share")
     )
     best = by_label.groupBy("label").agg(F.min(F.struct("dist", "ref_label", "share")).alias("b"))
     return best.select("label", "b.ref_label", "b.dist", "b.share").where(F.col("share") >= least_share)
@@ -132,15 +154,47 @@ def assign_if_consistent(labels: DataFrame, candidates: DataFrame, known: DataFr
     return labels.join(taken, "item", "left").select("item", F.coalesce("taken", "label").alias("label"))
 
 
-def rescue_noise(labels: DataFrame, by_label: DataFrame, known: DataFrame, least_share: float, least_count: int) -> DataFrame:
-    """(item, label): noise rows take the label of least mean distance if enough of its members are the same; else their only known character; else -1.
+def rescue_noise(
+    labels: DataFrame, by_label: DataFrame | None, known: DataFrame | None, least_share: float, least_count: int, by_reference: DataFrame | None = None, n_known: int | None = None
+) -> DataFrame:
+    """(item, label) in which noise rows, of label -1, may have got a label. All are judged against the labels given.
+
+    A row takes the label of the nearest reference, by least distance, if that is under its mean distance to every cluster and
+    one of the label's references is the same. If it doesn't, it takes the cluster of least mean distance if enough of its members, by share or number, are the
+    same. Both only if ``known`` (item, character) doesn't speak against it: a label under ``n_known`` must be among the row's known characters. A row that takes
+    none gets its only known character; else -1. Ties go to the lower label.
 
-    ``by_label``: (src, to, d, count, share) of noise rows, of similar.distances_to_groups(). All are judged against the labels given.
+    ``by_label``: (src, to, d, count, share) of noise rows and clusters, of similar.group_distances(), ``by_reference``: (src, to, least, count) of noise
+    rows and labels of references; either may be None. Without ``n_known`` no label is held against known characters.
     """
-    best = by_label.groupBy("src").agg(F.min(F.struct("d", "to", "count", "share")).alias("b"))
-    found = best.where((F.col("b.share") >= least_share) | (F.col("b.count") >= least_count)).select(F.col("src").alias("item"), F.col("b.to").alias("found"))
-    only = known.groupBy("item").agg(F.min("character").alias("only"), F.count("*").alias("n")).where("n = 1").select("item", "only")
-    out = labels.join(found, "item", "left").join(only, "item", "left")
+    rows = labels.select("item", "label")
+    empty = rows.where("false").select(F.col("item").alias("src"))
+    groups = empty.select("src", *(F.lit(None).cast(t).alias(c) for c, t in (("to", "long"), ("d", "double"), ("count", "double"), ("share", "double")))) if by_label is None else by_label
+    nearest = groups.groupBy("src").agg(F.min(F.struct("d", "to", "count", "share")).alias("b")).select("src", F.struct(F.col("b.d").alias("d"), F.col("b.to").cast("long").alias("to"), "b.count", "b.share").alias("b"))
+    best = nearest
+    if by_reference is not None:
+        of_ref = by_reference.groupBy("src").agg(F.min(F.struct("least", "to", "count")).alias("r")).select("src", F.struct("r.least", F.col("r.to").cast("long").alias("to"), "r.count").alias("r"))
+        best = nearest.join(of_ref, "src", "full")
+    else:
+        best = nearest.withColumn("r", F.lit(None).cast("struct<least:double,to:long,count:double>"))
+    if known is None or n_known is None:
+        agreed = {"b": F.lit(True), "r": F.lit(True)}
+    else:
+        shown = known.select(F.col("item").alias("src"), F.col("character").cast("long").alias("character"))
+        for side in ("b", "r"):
+            hit = shown.withColumnRenamed("character", f"{side}_to").withColumn(f"{side}_shown", F.lit(True)).distinct()
+            best = best.withColumn(f"{side}_to", F.col(side)["to"]).join(hit, ["src", f"{side}_to"], "left")
+        shows = {side: F.coalesce(F.col(f"{side}_shown"), F.lit(False)) for side in ("b", "r")}
+        agreed = {"b": shows["b"] | (F.col("b.to") >= n_known), "r": shows["r"]}
+    by_ref = F.coalesce((F.col("r.least") < F.coalesce("b.d", F.lit(float("inf")))) & (F.col("r.count") > 0) & agreed["r"], F.lit(False))
+    by_cluster = F.coalesce(((F.col("b.share") >= least_share) | (F.col("b.count") >= least_count)) & agreed["b"], F.lit(False))
+    found = best.select(F.col("src").alias("item"), F.when(by_ref, F.col("r.to")).when(by_cluster, F.col("b.to")).alias("found")).where("found is not null")
+    out = rows.join(found, "item", "left")
+    if known is not None:
+        only = known.groupBy("item").agg(F.min("character").alias("only"), F.count("*").alias("n")).where("n = 1").select("item", "only")
+        out = out.join(only, "item", "left")
+    else:
+        out = out.withColumn("only", F.lit(None).cast("long"))
     return out.select("item", F.when(F.col("label") >= 0, F.col("label")).otherwise(F.coalesce("found", "only", F.lit(-1))).cast("long").alias("label"))
 
 

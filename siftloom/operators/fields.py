@@ -23,11 +23,11 @@ def legacy_fields(items: DataFrame) -> DataFrame:
 
 
 def description(general: Column, path: Column, constant: str | None = None, from_folder: bool = False) -> Column:
-    """The item's description, or ``constant`` if given; the folder's name, with spaces for underscores, is put after it if asked for."""
+    """The item's description, or ``constant`` if given; the folder's name, with spaces for underscores, is put after it if asked for; a path without a folder has an empty one."""
     text = general if constant is None else F.lit(constant)
     if not from_folder:
         return text
-    return F.concat(F.coalesce(text, F.lit("")), F.lit(" "), F.replace(F.element_at(F.split(path, "/"), -2), F.lit("_"), F.lit(" ")))
+    return F.concat(F.coalesce(text, F.lit("")), F.lit(" "), F.replace(F.coalesce(F.try_element_at(F.split(path, "/"), F.lit(-2)), F.lit("")), F.lit("_"), F.lit(" ")))
 
 
 def refine_characters(old: Column, new: Column, overwrite: bool = False, part: str = ",") -> Column:
@@ -42,24 +42,25 @@ def refine_characters(old: Column, new: Column, overwrite: bool = False, part: s
 
 
 def merge_references(known: DataFrame, references: DataFrame) -> DataFrame:
-    """(label, character, ref_label) of known characters (label, character) and references (label, character).
+    """(label, character, ref_label) of known characters (label, character) and references (label, character): every reference has its row.
 
-    A reference equal to a known character shares its label, the lowest of several; others get labels after the known ones, in order of their own.
+    A reference equal to a known character shares its label, the lowest of several; others get labels after the known ones, in order of
+    the lowest of their own, equal ones the same. A known character without a reference has one row, without ``ref_label``.
     """
     have = known.groupBy("character").agg(F.min("label").alias("shared"))
     refs = references.select(F.col("label").alias("ref_label"), "character").join(have, "character", "left")
     # catalogues of characters are small: one row for each
     first = known.agg(F.coalesce(F.max("label") + 1, F.lit(0)).alias("first"))
-    fresh = refs.where("shared is null").groupBy("character").agg(F.min("ref_label").alias("ref_label"))
-    fresh = fresh.withColumn("place", F.row_number().over(Window.orderBy("ref_label")) - 1).join(F.broadcast(first))
-    fresh = fresh.select((F.col("first") + F.col("place")).cast("long").alias("label"), "character", "ref_label")
-    shared = refs.where("shared is not null").groupBy(F.col("shared").alias("label"), "character").agg(F.min("ref_label").alias("ref_label"))
+    fresh = refs.where("shared is null").groupBy("character").agg(F.min("ref_label").alias("lowest"))
+    fresh = fresh.withColumn("place", F.row_number().over(Window.orderBy("lowest")) - 1).join(F.broadcast(first))
+    fresh = fresh.select((F.col("first") + F.col("place")).cast("long").alias("label"), "character").join(refs.where("shared is null").select("character", "ref_label"), "character")
+    shared = refs.where("shared is not null").select(F.col("shared").alias("label"), "character", "ref_label")
     return known.select(F.col("label").cast("long").alias("label"), "character").join(shared, ["label", "character"], "left").unionByName(fresh)
 
 
 def inherit_presence(present: DataFrame, known: DataFrame, merged: DataFrame) -> DataFrame:
     """Presence (item, label) of known characters, and of new forms wherever a known character of the same base name is."""
-    new = merged.join(known.select("label"), "label", "left_anti").select(F.col("label").alias("form"), base_name(F.col("character")).alias("base"))
+    new = merged.join(known.select("label"), "label", "left_anti").select(F.col("label").alias("form"), base_name(F.col("character")).alias("base")).distinct()
     old = known.select("label", base_name(F.col("character")).alias("base"))
     forms = old.join(new, "base").select("label", "form").distinct()
     return present.select("item", "label").unionByName(present.join(forms, "label").select("item", F.col("form").alias("label"))).distinct()

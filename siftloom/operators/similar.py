@@ -60,57 +60,89 @@ def similar_pairs(vectors: DataFrame, threshold: float, item: str = "item", vec:
 
 
 def distances_to_groups(vectors: DataFrame, labels: DataFrame, same: float, item: str = "item", vec: str = "vec", label: str = "label") -> DataFrame:
-    """(src, to, d, count, share) of each item of label -1 and each other label: mean cosine distance to the label's items,
-    number and share of those within ``same``.
+    """(src, to, d, least, count, share) of each item of label -1 and each other label; see group_distances(). Rows with a null vector are left out."""
+    rows = vectors.join(labels.select(F.col(item), F.col(label).alias("to")), item)
+    named = rows.select(F.col(item).alias("item"), F.col(vec).alias("vec"), "to")
+    return group_distances(named.where("to = -1"), named.where("to <> -1"), same)
 
-    Blocks of the two kinds of items are compared exactly; a task adds up distances by item and label before they leave it.
-    Rows with a null vector are left out.
+
+def _dealt(rows: DataFrame, key: str, blocks: int, others: int, side: int) -> DataFrame:
+    """Rows in blocks of their own, each sent once to every block of the other side; i is the block of side 0, j that of side 1."""
+    own, other = F.pmod(F.xxhash64(key), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+    i, j = (own, other) if side == 0 else (other, own)
+    return rows.withColumn("i", i).withColumn("j", j).withColumn("side", F.lit(side))
+
+
+def group_distances(items: DataFrame, members: DataFrame, same: float) -> DataFrame:
+    """(src, to, d, least, count, share) of each item (item, vec) and each group of members (item, vec, to): mean and least cosine
+    distance to the group's members, number and share of those within ``same``.
+
+    Blocks of items meet blocks of members exactly; a task adds up distances by item and group before they leave it, so neither
+    side has a bound. Rows with a null vector are left out; a group is a whole number.
     """
-    rows = vectors.where(F.col(vec).isNotNull()).join(labels.select(F.col(item), F.col(label).alias("to")), item)
-    sizes = rows.groupBy((F.col("to") == -1).alias("noise")).count().collect()  # two rows
-    n = {r.noise: -(-r["count"] // BLOCK) for r in sizes}
-    block = F.pmod(F.xxhash64(item), F.when(F.col("to") == -1, n.get(True, 1)).otherwise(n.get(False, 1)))
-    sent = rows.select(F.col(item).alias("item"), F.col(vec).alias("vec"), "to", block.alias("block"))
-    noise = sent.where("to = -1").select("item", "vec", "to", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(n.get(False, 1) - 1))).alias("j"))
-    others = sent.where("to <> -1").select("item", "vec", "to", F.explode(F.sequence(F.lit(0), F.lit(n.get(True, 1) - 1))).alias("i"), F.col("block").alias("j"))
-    kind = vectors.schema[item].dataType.simpleString()
+    left, right = items.where("vec is not null").select("item", "vec"), members.where("vec is not null").select("item", "vec", F.col("to").cast("long").alias("to"))
+    n_left, n_right = (max(1, -(-x.count() // BLOCK)) for x in (left, right))
+    kind, other = items.schema["item"].dataType.simpleString(), members.schema["item"].dataType.simpleString()
+    sent = _dealt(left.withColumn("to", F.lit(None).cast("long")).withColumn("other", F.lit(None).cast(other)), "item", n_left, n_right, 0)
+    sent = sent.unionByName(_dealt(right.select(F.lit(None).cast(kind).alias("item"), "vec", "to", F.col("item").alias("other")), "other", n_right, n_left, 1))
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["to"] == -1], pdf[pdf["to"] != -1]
+        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("to", kind="stable")
         if not len(a) or not len(b):
-            return pd.DataFrame({"src": [], "to": [], "n": [], "total": [], "near": []})
+            return pd.DataFrame({"src": [], "to": [], "n": [], "total": [], "near": [], "least": []})
         dist = 1 - _matrix(a["vec"]) @ _matrix(b["vec"]).T
-        names, at = np.unique(b["to"].to_numpy(), return_inverse=True)
-        member = np.eye(len(names))[at]
-        out = {"n": np.broadcast_to(member.sum(axis=0), (len(a), len(names))), "total": dist @ member, "near": (dist <= same) @ member}
+        names, starts, n = np.unique(b["to"].to_numpy().astype(np.int64), return_index=True, return_counts=True)
+        out = {
+            "n": np.broadcast_to(n.astype(float), (len(a), len(names))), "total": np.add.reduceat(dist, starts, axis=1),
+            "near": np.add.reduceat((dist <= same).astype(float), starts, axis=1), "least": np.minimum.reduceat(dist, starts, axis=1),
+        }
         return pd.DataFrame({"src": np.repeat(a["item"].to_numpy(), len(names)), "to": np.tile(names, len(a)), **{k: v.ravel() for k, v in out.items()}})
 
-    parts = noise.unionByName(others).groupBy("i", "j").applyInPandas(add, f"src {kind}, to long, n double, total double, near double")
-    sums = parts.groupBy("src", "to").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("near").alias("count"))
-    return sums.select("src", "to", (F.col("total") / F.col("n")).alias("d"), "count", (F.col("count") / F.col("n")).alias("share"))
+    sums = sent.groupBy("i", "j").applyInPandas(add, f"src {kind}, to long, n double, total double, near double, least double").groupBy("src", "to").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("near").alias("count"), F.min("least").alias("least")
+    )
+    return sums.select("src", "to", (F.col("total") / F.col("n")).alias("d"), "least", "count", (F.col("count") / F.col("n")).alias("share"))
+
+
+#: References, at most, that are sent to every task, where they are compared with what is there; of more, blocks of both sides meet.
+SENT_REFERENCES = BLOCK * 64
 
 
 def reference_distances(items: DataFrame, refs: DataFrame, item: str = "item", ref: str = "ref", vec: str = "vec") -> DataFrame:
-    """(item, ref, dist) of every item and reference, dist = 1 - cosine.
+    """(item, ref, dist) of every item and reference, dist = 1 - cosine: by its meaning as many rows as both have, multiplied.
 
-    The catalogue of references is sent to all tasks; its size is checked: over BLOCK * 64 rows is refused.
+    A catalogue of up to ``SENT_REFERENCES`` rows goes to all tasks; a larger one is dealt in blocks, each of which meets each block of items.
+    What group_distances() can add up needs no such table.
     """
-    rows = refs.select(ref, vec).limit(BLOCK * 64 + 1).collect()
-    if len(rows) > BLOCK * 64:
-        raise ValueError("too many references to send to every task; use similar_pairs")
-    names = [r[0] for r in rows]
-    matrix = _matrix([r[1] for r in rows]) if rows else np.zeros((0, 1))
-    sent = items.sparkSession.sparkContext.broadcast((names, matrix))
     kinds = items.schema[item].dataType.simpleString(), refs.schema[ref].dataType.simpleString()
+    schema = f"item {kinds[0]}, ref {kinds[1]}, dist double"
+    n = refs.count()
+
+    def crossed(a: pd.DataFrame, names, matrix: np.ndarray) -> pd.DataFrame:
+        d = 1 - _matrix(a["vec"]) @ matrix.T
+        return pd.DataFrame({"item": np.repeat(a["item"].to_numpy(), len(names)), "ref": np.tile(np.array(names), len(a)), "dist": d.ravel()})
+
+    named = items.select(F.col(item).alias("item"), F.col(vec).alias("vec"))
+    if n > SENT_REFERENCES:
+        n_left, n_right = max(1, -(-named.count() // BLOCK)), -(-n // BLOCK)
+        right = refs.select(F.lit(None).cast(kinds[0]).alias("item"), F.col(vec).alias("vec"), F.col(ref).alias("ref"))
+        sent = _dealt(named.withColumn("ref", F.lit(None).cast(kinds[1])), "item", n_left, n_right, 0).unionByName(_dealt(right, "ref", n_right, n_left, 1))
+
+        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+            a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+            return crossed(a, b["ref"].to_numpy(), _matrix(b["vec"])) if len(a) and len(b) else pd.DataFrame({"item": [], "ref": [], "dist": []})
+
+        return sent.groupBy("i", "j").applyInPandas(meet, schema)
+    rows = refs.select(ref, vec).collect()
+    sent = items.sparkSession.sparkContext.broadcast(([r[0] for r in rows], _matrix([r[1] for r in rows]) if rows else np.zeros((0, 1))))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, matrix = sent.value
         for pdf in batches:
             if len(names) and len(pdf):
-                d = 1 - _matrix(pdf["vec"]) @ matrix.T
-                yield pd.DataFrame({"item": np.repeat(pdf["item"].to_numpy(), len(names)), "ref": np.tile(np.array(names), len(pdf)), "dist": d.ravel()})
+                yield crossed(pdf, names, matrix)
 
-    return items.select(F.col(item).alias("item"), F.col(vec).alias("vec")).mapInPandas(measure, f"item {kinds[0]}, ref {kinds[1]}, dist double")
+    return named.mapInPandas(measure, schema)
 
 
 def keep_first(items: DataFrame, edges: DataFrame, item: str = "item", rounds: int = ROUNDS) -> DataFrame:

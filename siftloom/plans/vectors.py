@@ -110,8 +110,9 @@ r as (select *, row_number() over (partition by label order by dist, ref_label)
 select label, ref_label, round(dist, 6) as dist, round(share, 6) as share from r where k = 1 and share >= 0.01""")
 def cluster_to_ref(spark, sf_dir):
     r = refs(spark, sf_dir)
-    d = S.reference_distances(vectors(spark, sf_dir), r)
-    return K.cluster_to_reference(d, _split(spark, sf_dir), r, 0.97).select("label", "ref_label", F.round("dist", 6).alias("dist"), F.round("share", 6).alias("share"))
+    members = vectors(spark, sf_dir).select("item", "vec", F.col("label").alias("to"))
+    means = S.group_distances(r.select(F.col("ref").alias("item"), "vec"), members, 0.97).select(F.col("src").alias("ref"), F.col("to").alias("label"), F.col("d").alias("m"))
+    return K.reference_votes(means, r, 0.97).select("label", "ref_label", F.round("dist", 6).alias("dist"), F.round("share", 6).alias("share"))
 
 
 @query("cluster_to_meta", f"""with recursive {_L}, k as (select vec_id as item, label::bigint as character from embeddings where embedding[1] > 0),
@@ -149,6 +150,61 @@ def noise_rescue(spark, sf_dir):
     return K.rescue_noise(labels, S.distances_to_groups(v, labels, 0.75), known(spark, sf_dir), 0.02, 3)
 
 
+_LR = """
+xl as (select vec_id as item, case when vec_id % 4 = 0 then -1 else label end::bigint as label from embeddings),
+xn as (select item as src from xl where label = -1),
+xu as (select vec_id as item, list_transform(embedding::double[], lambda x: x / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as v from embeddings),
+xr as (select min(vec_id) as ref, label::bigint as to_, arg_min(embedding, vec_id)::double[] as rv from embeddings group by label, embedding[1] > 0),
+xq as (select u.item as src, to_, 1 - list_dot_product(u.v, list_transform(rv, lambda x: x / sqrt(list_dot_product(rv, rv)))) as dist from xu u join xn on u.item = xn.src, xr),
+xp as (select src, to_, min(dist) as least, count(*) filter (where dist <= 0.8) as cnt from xq group by all),
+xb as (select src, to_, least, cnt from (select *, row_number() over (partition by src order by least, to_) as k from xp) where k = 1),
+yq as (select a.item as src, xl.label as to_, 1 - list_dot_product(a.v, b.v) as dist from xu a join xn on a.item = xn.src join xl on xl.label >= 0 join xu b on b.item = xl.item),
+yp as (select src, to_, avg(dist) as d, count(*) filter (where dist <= 0.75) as cnt, count(*) filter (where dist <= 0.75) / count(*) as share from yq group by all),
+yb as (select src, to_, d, cnt, share from (select *, row_number() over (partition by src order by d, to_) as k from yp) where k = 1)"""
+_K4 = "k as (select vec_id as item, label::bigint as character from embeddings where vec_id % 3 <> 1 union select vec_id, ((label + vec_id) % 5)::bigint from embeddings where vec_id % 7 = 0)"
+_ONLY = "o as (select item, min(character) as one from k group by item having count(*) = 1)"
+
+
+def _rescue_inputs(spark, sf_dir):
+    """A quarter of the rows is noise; two rows of three are known to show their label and a few another one beside it."""
+    e = table(spark, sf_dir, "embeddings")
+    item, label = F.col("vec_id").alias("item"), F.col("label").cast("long")
+    labels = e.select(item, F.when(F.col("vec_id") % 4 == 0, -1).otherwise(label).cast("long").alias("label"))
+    shown = e.where("vec_id % 3 <> 1").select(item, label.alias("character")).union(e.where("vec_id % 7 = 0").select(item, ((F.col("label") + F.col("vec_id")) % 5).cast("long"))).distinct()
+    v = vectors(spark, sf_dir).select("item", "vec").join(labels, "item")
+    return materialize(labels, "labels"), shown, materialize(v, "rows"), refs(spark, sf_dir)
+
+
+@query("noise_rescue_refs", f"""with {_LR}
+select xl.item, case when xl.label >= 0 then xl.label when xb.cnt > 0 then xb.to_ else -1 end::bigint as label from xl left join xb on xb.src = xl.item""")
+def noise_rescue_refs(spark, sf_dir):
+    """References alone: the label of the nearest one, if one of the label's is the same."""
+    labels, _, v, r = _rescue_inputs(spark, sf_dir)
+    near = S.group_distances(v.where("label = -1"), r.select(F.col("ref").alias("item"), "vec", F.col("ref_label").alias("to")), 0.8)
+    return K.rescue_noise(labels, None, None, 0.02, 3, by_reference=near)
+
+
+@query("noise_rescue_all", f"""with {_LR}, {_K4}, {_ONLY},
+j as (select xn.src, xb.to_ as rt, xb.least, xb.cnt as rc, yb.to_ as ct, d, yb.cnt as cc, share,
+ exists (select 1 from k where k.item = xn.src and k.character = xb.to_) as rs, exists (select 1 from k where k.item = xn.src and k.character = yb.to_) as cs
+ from xn left join xb using (src) left join yb using (src)),
+f as (select src, case when least < d and rc > 0 and rs then rt when (share >= 0.05 or cc >= 3) and (cs or ct >= 8) then ct end as found from j)
+select xl.item, case when xl.label >= 0 then xl.label else coalesce(found, one, -1) end::bigint as label from xl left join f on f.src = xl.item left join o on o.item = xl.item""")
+def noise_rescue_all(spark, sf_dir):
+    """References, clusters and known characters, which speak against labels under 8."""
+    labels, shown, v, r = _rescue_inputs(spark, sf_dir)
+    noise = v.where("label = -1")
+    near = S.group_distances(noise, r.select(F.col("ref").alias("item"), "vec", F.col("ref_label").alias("to")), 0.8)
+    groups = S.group_distances(noise, v.where("label >= 0").select("item", "vec", F.col("label").alias("to")), 0.75)
+    return K.rescue_noise(labels, groups, shown, 0.05, 3, by_reference=near, n_known=8)
+
+
+@query("merge_known_clusters")
+def merge_known_clusters(spark, sf_dir):
+    """Merging in which only rows known to show the other label move, for labels under 6."""
+    _, shown, _, _ = _rescue_inputs(spark, sf_dir)
+    return K.merge_clusters(_edges(spark, sf_dir), _split(spark, sf_dir), 0.0085, known=shown, n_known=6, least=1)
+
 @query("label_filter", f"""with {_E}, s as (select label, count(*) as size from vec group by label),
 n as (select src as item, count(*) as n from ways join vec a on a.item = src join vec b on b.item = dst where a.label = b.label group by 1)
 select vec.item, case when (coalesce(n, 0) + 1) / size >= 0.03 or coalesce(n, 0) + 1 >= 4 then label else -1 end::bigint as label from vec left join n using (item) join s using (label)""")

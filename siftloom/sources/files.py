@@ -10,10 +10,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from siftloom.session import private
 from siftloom.sources.scan import base_key, manifest
+from siftloom.sources.sidecars import read_sidecars
 
 #: Fields of a tag file's lines, in the original's spelling, and the fields that they fill.
 V1_FIELDS = {"character": "character", "copyright": "copyright", "artist": "artist", "general": "tags", "rating": "rating", "score": "score"}
@@ -21,33 +22,32 @@ V1_FIELDS = {"character": "character", "copyright": "copyright", "artist": "arti
 V1_NOBODY = ("unknown", "ood")
 
 
-def read_metadata(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
-    """(base, fields of ``schema``) of the files ``{name}.json`` or ``{name}_meta.json`` below a folder; base is the image's path without ending.
-
-    Spark leaves out files whose names begin with a dot, so hidden metadata files must be renamed first.
-    """
-    files = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    path = F.col("_metadata.file_path")
-    return files.json(folder).select(F.regexp_replace(path, r"(_meta)?\.json$", "").alias("base"), "*")
+def read_metadata(spark: SparkSession, folder: str, schema: str, broken: str | None = None) -> DataFrame:
+    """(base, fields of ``schema``) of the files ``.{name}_meta.json``, ``{name}_meta.json`` or ``{name}.json`` below a folder, the
+    first form there is of each image; base is the image's path without ending. ``broken`` names a column that tells of files that couldn't be read."""
+    rows = read_sidecars(spark, folder, schema, broken or "_broken")
+    return rows if broken else rows.drop("_broken")
 
 
 def item_metadata(images: DataFrame, stored: DataFrame, overwrite_path: bool = False) -> DataFrame:
     """Images (path, filename, group_id, more) with their stored metadata (base, fields); what is missing gets the image's own values.
 
     ``path`` stays as stored unless it is to be overwritten; ``current_path`` is always where the image is now. An image
-    without metadata has null in the other fields.
+    without metadata has null in the other fields; columns may have any other names.
     """
-    own = {c: f"_own_{c}" for c in images.columns}
-    here = images.withColumnsRenamed(own).withColumn("_base", base_key(F.col("_own_path")))
-    both = here.join(stored, here["_base"] == stored["base"], "left")
+    both = images.withColumn("base", F.lit(0)) if "base" not in images.columns else images
+    names = private(both.join(stored.limit(0).drop("base"), F.lit(False)), *(f"own_{i}" for i in range(len(images.columns))), "key")
+    own, key = dict(zip(images.columns, names, strict=False)), names[-1]
+    here = images.withColumnsRenamed(own).withColumn(key, base_key(F.col(own["path"])))
+    both = here.join(stored, F.col(key) == stored["base"], "left")
     fields = [c for c in stored.columns if c != "base" and c not in ("path", "current_path")]
 
     def value(c: str) -> Column:
-        return F.coalesce(F.col(c), F.col(own[c])) if c in own and c in fields else F.col(own[c] if c in own else c)
+        return F.coalesce(stored[c], F.col(own[c])) if c in own and c in fields else F.col(own[c]) if c in own else stored[c]
 
-    path = F.col("_own_path") if overwrite_path or "path" not in stored.columns else F.coalesce("path", "_own_path")
-    others = [c for c in dict.fromkeys([*images.columns, *fields]) if c != "path"]
-    return both.select(path.alias("path"), F.col("_own_path").alias("current_path"), *(value(c).alias(c) for c in others))
+    path = F.col(own["path"]) if overwrite_path or "path" not in stored.columns else F.coalesce(stored["path"], F.col(own["path"]))
+    others = [c for c in dict.fromkeys([*images.columns, *fields]) if c not in ("path", "current_path")]
+    return both.select(path.alias("path"), F.col(own["path"]).alias("current_path"), *(value(c).alias(c) for c in others))
 
 
 def v1_tag_lines(lines: DataFrame, keep_character: bool = False) -> DataFrame:
@@ -164,7 +164,7 @@ def class_dataset(images: DataFrame, tags: DataFrame, mode: Column | None = None
     number dense by first path. Images for which ``mode`` isn't RGB are left out."""
     seen = images if mode is None else images.where(mode == "RGB")
     parts = F.split("path", "/")
-    named = seen.select(base_key(F.col("path")).alias("base"), "path", F.element_at(parts, -2).alias("class_name"), F.array_join(F.slice(parts, -2, 2), "/").alias("file"))
+    named = seen.select(base_key(F.col("path")).alias("base"), "path", F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit("")).alias("class_name"), F.array_join(F.slice(parts, -2, 2), "/").alias("file"))
     # one row for each class in this window
     classes = named.groupBy("class_name").agg(F.min("path").alias("first")).select((F.row_number().over(Window.orderBy("first")) - 1).alias("class_id"), "class_name")
     rows = named.join(classes, "class_name").join(tags, "base", "left")

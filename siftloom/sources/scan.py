@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftloom.sources.sidecars import plain_path
+
 #: Image endings in the order in which they are listed.
 IMAGES = ("png", "jpg", "jpeg", "webp", "gif")
 #: Names that mean nobody.
@@ -37,7 +39,7 @@ def comma_sidecars(spark: SparkSession, folder: str, ending: str) -> DataFrame:
     """(base, values) of text files ``*.{ending}`` with values between commas; blank values are dropped."""
     files = spark.read.option("recursiveFileLookup", True).option("wholetext", True).option("pathGlobFilter", f"*.{ending}").text(folder)
     values = F.filter(F.transform(F.split("value", ","), lambda x: F.trim(x)), lambda x: x != "")
-    return files.select(base_key(F.col("_metadata.file_path")).alias("base"), values.alias("values"))
+    return files.select(base_key(plain_path(F.col("_metadata.file_path"))).alias("base"), values.alias("values"))
 
 
 def key_value_lines(lines: DataFrame) -> DataFrame:
