@@ -74,28 +74,33 @@ def measure(docs: DataFrame, common: DataFrame, text: str = "text", lang: str =
         *(c for c in rows.columns if not c.startswith("_t") and c not in ("t", "lines")),
         F.array(*classes, F.length(left)).alias("classes"), F.length("t").alias("n_chars"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.sort_array(F.arrays_zip(*(F.slice("words", k + 1, F.greatest(n - (WINDOW - 1), F.lit(0))).alias(f"w{k}") for k in range(WINDOW)), F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))).alias("at"))).alias("windows"),
-        F.filter("words", lambda w: F.array_contains("common", w)).alias("known"),
+        F.array_intersect("common", "words").alias("there"),
     )
 
-    def same(a: Column, b: Column) -> Column:
+    def same(i: Column) -> Column:
+        """Whether the sorted window i equals the one before."""
+        a, b = F.get("windows", i), F.get("windows", i - 1)
         equal = a["w0"] == b["w0"]
         for k in range(1, WINDOW):
             equal = equal & (a[f"w{k}"] == b[f"w{k}"])
         return F.coalesce(equal, F.lit(False))
 
-    # sorted windows that equal a neighbour, by place; each adds the words that the one before doesn't reach
-    twice = F.filter("windows", lambda x, i: same(x, F.get("windows", i - 1)) | same(x, F.get("windows", i + 1)))
-    places = F.sort_array(F.transform(twice, lambda x: x["at"]))
+    rows = rows.withColumn("again", F.filter(F.sequence(F.lit(0), F.size("windows") - 1), same))
+    # windows that equal a neighbour, by place; each adds the words that the one before doesn't reach
+    at = lambda i: F.get("windows", i)["at"]
+    places = F.sort_array(F.array_distinct(F.concat(F.transform("again", at), F.transform("again", lambda i: at(i - 1)))))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     reach = WINDOW - 1
     repeated = F.aggregate(places, start, lambda s, p: F.struct((p + reach).alias("end"), (s["n"] + p + reach - F.greatest(s["end"], p - 1)).alias("n")))["n"]
-    hits = F.transform("common", lambda c: F.size("known") - F.size(F.array_remove("known", c)))
+    hits = F.transform("common", lambda c: F.when(F.array_contains("there", c), n - F.size(F.array_remove("words", c))).otherwise(0))
     rows = rows.select(
         *(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "lang", "part", n.cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"), F.col(symbols).cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
         repeated.cast("long").alias("n_repeat_words"), F.col("n_chars").cast("long").alias("n_chars"), "classes",
-        F.when(F.col("common").isNotNull(), F.concat(hits, F.array(n - F.size("known")))).alias("hits"),
+        F.when(F.col("common").isNotNull(), hits).alias("hits"),
     )
+    others = F.col("n_words").cast("int") - F.aggregate("hits", F.lit(0), lambda a, b: a + b)
+    rows = rows.withColumn("hits", F.concat("hits", F.array(others)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
