@@ -291,11 +291,67 @@ def aux_groups(spark, sf_dir):
     return group_by_base(files, F.substring_index("path", "/", 1), F.substring_index("path", "/", -1)).select("base", F.array_join("files", ";").alias("files"))
 
 
-@query("page_hierarchy")
+_NAMED = "regexp_replace({}, '<[^>]*>', '', 'g')"
+_PAGE_LINKS = f"""x as (select page_id as page, unnest(regexp_extract_all(html, '<h1[^>]*>.*?</h1>|<li><a [^>]*>.*?</a>')) as t,
+ unnest(range(len(regexp_extract_all(html, '<h1[^>]*>.*?</h1>|<li><a [^>]*>.*?</a>')))) as pos from pages),
+l as (select page, pos, trim({_NAMED.format('t')}) as name, t like '<h1%' as h, regexp_matches(t, '^<li><a href="/[aeiou]') as deep from x),
+r as (select *, last_value(case when h then name end ignore nulls) over (partition by page order by pos rows between unbounded preceding and 1 preceding) as under,
+ max(h::int) over (partition by page order by pos rows between unbounded preceding and current row) as second,
+ last_value(case when not h and not deep then name end ignore nulls) over (partition by page order by pos rows between unbounded preceding and 1 preceding) as prev from l)"""
+
+
+@query("page_hierarchy", f"with {_PAGE_LINKS} select distinct page, case when h then '' else coalesce(under, '') end as parent, name as child, not h as is_tag from r where name <> ''")
 def page_hierarchy(spark, sf_dir):
     return T.page_edges(table(spark, sf_dir, "pages"))
 
 
+@query("page_nested_lists", f"""with {_PAGE_LINKS} select distinct page, case when h then '' when deep and second = 0 then coalesce(prev, '') else coalesce(under, '') end as parent, name as child, not h as is_tag from r where name <> ''""")
+def page_nested_lists(spark, sf_dir):
+    """Items whose address begins with a vowel as lists of their own within the list."""
+    nested = F.regexp_replace("html", '(?s)<li>(<a href="/[aeiou][^>]*>.*?</a>)</li>', "<ul><li>$1</li></ul>")
+    return T.page_edges(table(spark, sf_dir, "pages").select("page_id", nested.alias("html")))
+
+
+_TREE = """e as (select distinct r_name as parent, n_name as child, n_nationkey % 3 = 0 as is_tag from nation join region on n_regionkey = r_regionkey
+ union select distinct n_name, c_mktsegment, true from nation join customer on c_nationkey = n_nationkey
+ union select distinct c_mktsegment, case when c_custkey % 2 = 0 then 'EVEN' else 'ODD' end, true from customer),
+place(path, name, is_tag) as (select [r_name], r_name, false from region where r_name in (select parent from e)
+ union all select list_append(p.path, e.child), e.child, e.is_tag from place p join e on e.parent = p.name),
+q as (select distinct [n_name] as query from nation union select [n_name, 'BUILDING'] from nation union select [n_name, 'BUILDING', 'ODD'] from nation union select ['ODD'] union select ['NOWHERE'] union select distinct [r_name, 'CHINA'] from region),
+n as (select name, count(*) as places, min(path) as start from place group by name),
+w as (select query, places, list_concat(start, query[2:]) as wanted from q left join n on n.name = query[1]),
+f as (select query, case when places > 1 then 'ambiguous' when wanted in (select path from place) then 'found' else 'missing' end as outcome, wanted from w)"""
+
+
+def _places(spark, sf_dir):
+    """Regions, nations, segments and parities as a tree in which most names stand in many places, and questions to it."""
+    n, r, c = (table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
+    edges = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child"), (F.col("n_nationkey") % 3 == 0).alias("is_tag"))
+    edges = edges.union(c.join(n, c.c_nationkey == n.n_nationkey).select("n_name", "c_mktsegment", F.lit(True)))
+    edges = edges.union(c.select("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, "EVEN").otherwise("ODD"), F.lit(True))).distinct()
+    asked = [F.array("n_name"), F.array("n_name", F.lit("BUILDING")), F.array("n_name", F.lit("BUILDING"), F.lit("ODD")), F.array(F.lit("ODD")), F.array(F.lit("NOWHERE"))]
+    queries = n.select(F.explode(F.array(*asked)).alias("query")).union(r.select(F.array("r_name", F.lit("CHINA")))).distinct()
+    places = T.tree_paths(edges)
+    return places, T.resolve(places, queries)
+
+
+@query("tree_lookup", f"with recursive {_TREE} select array_to_string(query, '/') as query, outcome, case when outcome = 'found' then array_to_string(wanted, '/') end as path from f")
+def tree_lookup(spark, sf_dir):
+    found = _places(spark, sf_dir)[1]
+    return found.select(F.array_join("query", "/").alias("query"), "outcome", F.array_join("path", "/").alias("path"))
+
+
+@query("tree_tags", f"""with recursive {_TREE} select array_to_string(query, '/') as query, name as tag, count(*) as n from f join place on outcome = 'found' and path[:len(wanted)] = wanted where is_tag group by all""")
+def tree_tags(spark, sf_dir):
+    places, found = _places(spark, sf_dir)
+    return T.tags_below(places, found).groupBy(F.array_join("query", "/").alias("query"), "tag").agg(F.count("*").alias("n"))
+
+
+@query("tree_groups", f"""with recursive {_TREE} select array_to_string(query, '/') as query, unnest(list_reverse(wanted)) as group, unnest(range(len(wanted)))::int as up from f where outcome = 'found'""")
+def tree_groups(spark, sf_dir):
+    return T.groups_above(_places(spark, sf_dir)[1]).select(F.array_join("query", "/").alias("query"), "group", "up")
+
+
 def _geography(spark, sf_dir):
     """Regions, nations and segments as a tag tree."""
     f = V.folders(spark, sf_dir).select(F.split("path", "/").alias("p"))

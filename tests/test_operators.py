@@ -112,7 +112,7 @@ def test_page_edges(spark):
 
     html = "<h2>A</h2><ul><li>plain</li></ul><h2>B</h2><ul><li>see <b>the</b> <a href='x'>x</a></li><li><a>y</a><ul><li><a>z</a></li></ul></li></ul><h3>C</h3><li><a>w</a></li><h2>See also</h2><li><a>no</a></li>"
     got = {(r.parent, r.child, r.is_tag) for r in page_edges(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")).collect()}
-    assert got == {("", "A", False), ("", "B", False), ("B", "x", True), ("B", "y", True), ("B", "z", True), ("B", "C", False), ("C", "w", True)}
+    assert got == {("", "A", False), ("", "B", False), ("B", "x", True), ("B", "y", True), ("y", "z", True), ("B", "C", False), ("C", "w", True)}
 
 
 def test_noise_distances(spark):
