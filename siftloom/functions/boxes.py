@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftloom.functions.tags import once
+
 
 def box(left: Column, top: Column, right: Column, bottom: Column) -> Column:
     return F.struct(left.cast("int").alias("l"), top.cast("int").alias("t"), right.cast("int").alias("r"), bottom.cast("int").alias("b"))
@@ -42,3 +44,49 @@ def ratio_bucket(ratio: Column, step: int) -> Column:
     """``face_height_ratio_lb-ub`` in steps of so many hundredths."""
     low = (F.floor(F.least(ratio * 100, F.lit(99.999)) / step) * step).cast("int")
     return F.concat(F.lit("face_height_ratio_"), low, F.lit("-"), low + step)
+
+
+def face_crops(width: Column, height: Column, faces: Column, scale: float | None = None) -> Column:
+    """array<struct<face, box, n_faces, facepos, fh_ratio>>: a square crop about each of an image's faces, and the faces in it.
+
+    ``faces`` is array<array<double>> of left, top, right, bottom as parts of the image. The square's edge is the image's shorter one, or ``scale`` times the
+    face's longer one if that is less; it lies about the face's middle across and begins half a face above it, moved into the image. A face over
+    the whole shorter edge has no crop. A face is in a crop if a fifth of its width and height about its middle is. ``facepos`` is relative to the
+    crop. ``fh_ratio`` follows the faces in order: a face higher, in parts of the crop, than the ratio so far sets it to its part of the image's height.
+    """
+    pixels = F.transform(faces, lambda f: F.struct(*((f[i] * (height if i % 2 else width)).alias(n) for i, n in enumerate("ltrb"))))
+    whole = lambda f: F.struct(*(f[n].cast("int").alias(n) for n in "ltrb"))
+    shorter = F.least(width, height).cast("int")
+
+    def crop(f: Column) -> Column:
+        longer = F.greatest(f["r"] - f["l"], f["b"] - f["t"])
+        edge = shorter if scale is None else F.least(shorter, (longer * F.lit(float(scale))).cast("int"))
+        x = F.greatest(((f["l"] + f["r"]) / 2).cast("int") - F.floor(edge / 2).cast("int"), F.lit(0))
+        y = F.greatest(f["t"] - F.floor((f["b"] - f["t"]) / 2).cast("int"), F.lit(0))
+        return F.struct(F.least(x, width.cast("int") - edge).alias("l"), F.least(y, height.cast("int") - edge).alias("t"), edge.alias("edge"))
+
+    def inside(f: Column, c: Column) -> Column:
+        def core(low: Column, high: Column, at: Column) -> Column:
+            middle, reach = (low + high) / 2, (high - low) * F.lit(0.1)
+            return (middle - reach >= at) & (middle + reach <= at + c["edge"])
+
+        return core(f["l"], f["r"], c["l"]) & core(f["t"], f["b"], c["t"])
+
+    def about(face: Column, i: Column) -> Column:
+        def found(c: Column) -> Column:
+            def with_faces(held: Column) -> Column:
+                part = lambda x, at: (x - at) / c["edge"]
+                places = F.transform(held, lambda f: F.array(part(f["l"], c["l"]), part(f["t"], c["t"]), part(f["r"], c["l"]), part(f["b"], c["t"])))
+                high = lambda f: f["b"] - f["t"]
+                ratio = F.aggregate(held, F.lit(0.0), lambda m, f: F.when(high(f) / c["edge"] > m, high(f) / height).otherwise(m))
+                return F.struct(
+                    (i + 1).cast("int").alias("face"), box(c["l"], c["t"], c["l"] + c["edge"], c["t"] + c["edge"]).alias("box"),
+                    F.size(held).alias("n_faces"), places.alias("facepos"), ratio.alias("fh_ratio"),
+                )
+
+            return once(F.filter(F.transform(pixels, whole), lambda f: inside(f, c)), with_faces)
+
+        fits = F.greatest(face["r"] - face["l"], face["b"] - face["t"]) < shorter
+        return F.when(fits, once(crop(whole(face)), found))
+
+    return F.filter(F.transform(pixels, about), lambda x: x.isNotNull())

@@ -162,15 +162,16 @@ def word_forms(words: list[str]) -> list[str]:
 
 
 def is_character_tag(tag: Column, whitelist: list[str], suffixes: list[str], prefixes: list[str], force: bool = False) -> Column:
-    """Whether a tag describes a character: listed, or with a listed ending or beginning of whole words."""
+    """Whether a tag describes a character: with a listed ending (or its plural or singular) or beginning of whole words, and not listed as exempt.
+    With ``force`` every tag does."""
     if force:
         return F.lit(True)
-    found = tag.isin(*word_forms(whitelist)) if whitelist else F.lit(False)
+    found = F.lit(False)
     for s in word_forms(suffixes):
         found = found | has_suffix(tag, s)
     for p in prefixes:
         found = found | has_prefix(tag, p)
-    return found
+    return found & ~tag.isin(*whitelist) if whitelist else found
 
 
 def rename_values(values: Column, mapping: Column) -> Column:

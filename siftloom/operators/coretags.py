@@ -61,3 +61,25 @@ def drop_core_tags(items: DataFrame, dropped: DataFrame) -> DataFrame:
 def unknown_characters(items: DataFrame, core: DataFrame) -> DataFrame:
     """(character) of items that has no core tags."""
     return items.select(F.explode("characters").alias("character")).distinct().join(core.select("character").distinct(), "character", "left_anti")
+
+
+#: Words that an image type's embedding starts from.
+TYPE_INIT = {"screenshots": "anime screencap", "booru": "masterpiece"}
+
+
+def merge_emb_init(old: DataFrame | None, names: DataFrame, image_types: list[str], found: DataFrame | None = None, overwrite: bool = False) -> DataFrame:
+    """(name, init) of embeddings: the old ones (name, init), unless they are to be overwritten; ``names`` (name) without one, with no words; image types
+    without one, with their default words, which may be empty; then the words found (name, init) that a name doesn't have yet, after its own, in their order."""
+    spark, none = names.sparkSession, F.array().cast("array<string>")
+    types = spark.createDataFrame([(t, [TYPE_INIT.get(t, "")]) for t in image_types], "name string, init array<string>")
+    rows = names.select("name", none.alias("init"), F.lit(1).alias("turn")).unionByName(types.withColumn("turn", F.lit(2)))
+    if old is not None and not overwrite:
+        rows = rows.unionByName(old.select("name", "init", F.lit(0).alias("turn")))
+    # the first that there is: an old one, then a name
+    first = rows.groupBy("name").agg(F.min_by("init", "turn").alias("init"))
+    if found is None:
+        return first
+    more = found.select("name", F.col("init").alias("more"))
+    had, new = F.coalesce("init", none), F.coalesce("more", none)
+    # without words of its own a name takes those found as they are
+    return first.join(more, "name", "full").select("name", F.when(F.col("init").isNull(), new).otherwise(F.concat(had, F.filter(new, lambda t: ~F.array_contains(had, t)))).alias("init"))

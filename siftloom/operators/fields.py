@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from siftloom.functions import tags as G
 from siftloom.functions.names import base_name
+from siftloom.session import private
 
 #: Parts of tags that tell of hair, and the tag that is never kept.
 HAIR = ("hair", "ponytail", "twintail", "braid", "bun", "bangs", "ahoge")
@@ -105,3 +106,91 @@ def filter_v1(tags: Column, attire: Column, has_outfit: Column, drop_hair: bool
 def init_text(words: Column, n: int = 10, std: float = 0.017) -> Column:
     """Words that a new embedding starts from, and how its further tokens are drawn."""
     return F.concat_ws(" ", F.nullif(F.array_join(words, " "), F.lit("")), F.lit(f"*[{std}, {n}]"))
+
+
+#: Folders that name no character, and names that stand for none.
+OTHERS, NOBODY = ("character_others", "others"), ("unknown", "ood")
+
+
+def _counted(name: Column, one: str, ending: str) -> Column:
+    """The number before ``ending`` as text, what stands there if it is none, 1 for ``one``."""
+    bare = F.regexp_replace(name, f"[{ending}]+$", "")
+    return F.when(name == one, "1").when(bare.rlike("^[0-9]+$"), F.regexp_replace(bare, "^0+(?=[0-9])", "")).otherwise(bare)
+
+
+def _named(names: Column) -> Column:
+    return F.filter(F.array_sort(F.array_distinct(names)), lambda x: ~x.isin(*NOBODY))
+
+
+def folder_fields(path: Column, form: str, characters: Column | None = None, allowed: Column | None = None, subjects: Column | None = None) -> dict[str, Column]:
+    """Fields that the folders of a file's path tell, from the right, by a format such as ``n_people/character/*``: n_faces and n_people as text, characters, invalid.
+
+    ``*`` skips a folder. A character folder holds names between plus signs; they are sorted and distinct, without unknown and ood. Folders
+    for others leave ``characters`` as they are stored, as do names that are the stored ones in any order. ``invalid`` are names of folders that are not among
+    the ``allowed`` ones, null where all are. ``subjects``, the text of a file with names between semicolons, overrules folders where there is one.
+    A folder that the path doesn't have counts as one without a name. Other words in a format are errors.
+    """
+    out: dict[str, Column] = {}
+    stored = F.lit(None).cast("array<string>") if characters is None else characters
+    invalid = F.array().cast("array<string>")
+    folders = F.split(path, "/")
+    for k, kind in enumerate(reversed(form.split("/"))):
+        name = F.coalesce(F.try_element_at(folders, F.lit(-2 - k)), F.lit(""))
+        if kind == "n_faces":
+            out["n_faces"] = _counted(name, "1face", "faces")
+        elif kind == "n_people":
+            out["n_people"] = _counted(name, "1person", "people")
+        elif kind == "character":
+            told = F.when(name == "ood", F.array().cast("array<string>")).otherwise(_named(F.split(name, r"\+", -1)))
+            stays = name.isin(*OTHERS) | F.coalesce(_named(stored) == told, F.lit(False))
+            if allowed is not None:
+                invalid = F.concat(invalid, F.when(stays, F.array().cast("array<string>")).otherwise(F.array_except(told, allowed)))
+            stored = F.when(stays, stored).otherwise(told)
+        elif kind != "*":
+            raise ValueError(f"no such kind of folder: {kind}")
+    if subjects is not None:
+        listed = F.transform(F.split(F.trim(subjects), ";", -1), lambda x: F.trim(x))
+        stored = F.when(subjects.isNull(), stored).when(F.trim(subjects) == "", F.array().cast("array<string>")).otherwise(listed)
+    out["characters"] = stored
+    out["invalid"] = F.when(F.size(invalid) > 0, F.array_distinct(invalid))
+    return out
+
+
+def rename_rules(rows: DataFrame) -> DataFrame:
+    """One row with ``rules``, array<struct<old, new>>, of a mapping (ord, old, new): in order of each old name's first row, with the new name of its last."""
+    last = rows.where("old is not null").groupBy("old").agg(F.min("ord").alias("ord"), F.max_by("new", "ord").alias("new"))
+    return last.agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "old", "new"))), lambda x: F.struct(x["old"].alias("old"), x["new"].alias("new"))).alias("rules"))
+
+
+def renamed(name: Column, rules: Column) -> Column:
+    """A name by the rules; the name itself without one."""
+    return F.coalesce(F.get(F.filter(rules, lambda r: r["old"] == name), F.lit(0))["new"], name)
+
+
+def rename_folder(path: Column, rules: Column, drop_unknown: bool = False) -> Column:
+    """A folder's path with the parts of its last name, between plus signs, renamed; with ``drop_unknown`` null if a part is neither an old nor a new name."""
+    at = F.length(path) - F.length(F.substring_index(path, "/", -1))
+    parts = F.split(F.substring_index(path, "/", -1), r"\+", -1)
+    new = F.concat(F.substr(path, F.lit(1), at), F.array_join(F.transform(parts, lambda x: renamed(x, rules)), "+"))
+    unknown = F.exists(parts, lambda x: ~F.exists(rules, lambda r: (r["old"] == x) | (r["new"] == x)))
+    return F.when(~unknown, new) if drop_unknown else new
+
+
+def rename_tag_line(line: Column, rules: Column) -> Column:
+    """A tag file's line; names in a character line are renamed, other lines stay."""
+    names = F.split(F.regexp_replace(line, "^[charte:]+", ""), ",", -1)
+    new = F.array_join(F.transform(names, lambda x: renamed(F.trim(x), rules)), ", ")
+    return F.when(line.startswith("character:"), F.concat(F.lit("character: "), new)).otherwise(line)
+
+
+def rename_caption(text: Column, rules: Column) -> Column:
+    """A caption in which every old name, wherever it stands, is replaced by its new one, rule after rule: a rule sees what those before it made."""
+    return F.aggregate(rules, text, lambda t, r: F.replace(t, r["old"], F.coalesce(r["new"], F.lit(""))))
+
+
+def apply_renames(rows: DataFrame, rules: DataFrame, **columns: str) -> DataFrame:
+    """``rows`` with columns renamed in place: column name to kind, one of folder, known_folder, tag_line and caption. ``rules`` is the one row of rename_rules()."""
+    kinds = {"folder": rename_folder, "known_folder": lambda c, r: rename_folder(c, r, True), "tag_line": rename_tag_line, "caption": rename_caption}
+    (name,) = private(rows, "rules")
+    one = F.broadcast(rules.select(F.col("rules").alias(name)))  # a rule file, and one row
+    return rows.join(one).withColumns({c: kinds[k](F.col(c), F.col(name)) for c, k in columns.items()}).drop(name)

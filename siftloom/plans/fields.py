@@ -39,7 +39,7 @@ select item.item_id, coalesce(string_agg(tag, ' ' order by pos) filter (where no
 def prune_character(spark, sf_dir):
     partners = F.create_map(*[x for k, vs in PARTNERS.items() for x in (F.lit(k), F.array(*map(F.lit, vs)))])
     listed = F.array(*map(F.lit, BLACKLIST))
-    pruned = O.prune_tags(F.col("tags"), F.col("characters"), "character", listed, partners, lambda t: G.is_character_tag(t, ["ing", "es"], [], []))
+    pruned = O.prune_tags(F.col("tags"), F.col("characters"), "character", listed, partners, lambda t: G.is_character_tag(t, [], ["ing", "es"], []))
     names = lambda c: F.array_join(F.transform(c, lambda t: t["tag"]), " ")
     return V.items(spark, sf_dir).select("item_id", pruned.alias("p")).select("item_id", names("p.kept").alias("kept"), names("p.dropped").alias("dropped"))
 

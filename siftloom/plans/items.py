@@ -14,7 +14,7 @@ QUERIES, SQL = {}, {}
 
 BLACKLIST = ["the", "of", "der", "la_de", "und", "que", "a", "et"]
 PARTNERS = {"and": ["the", "is"], "en": ["de"], "der": ["die", "und"], "on": ["in"], "la": ["le", "les"]}
-SUFFIXES, PREFIXES, WHITELIST = ["tion", "heit", "de"], ["th", "le"], ["ing", "es"]
+SUFFIXES, PREFIXES, WHITELIST = ["tion", "heit", "de"], ["th", "le"], ["de", "le"]
 
 
 def query(name: str, sql: str | None = None):
@@ -150,8 +150,8 @@ def rename_map(spark, sf_dir):
     return V.items(spark, sf_dir).select("item_id", F.array_join(G.rename_values(F.col("characters"), mapping), ";").alias("characters"))
 
 
-@query("character_tags", f"""with {V.ITEMS} select tag, count(*) as n from tag where tag in ('ing', 'ings', 'es', 'e', 'eses')
- or regexp_extract(tag, '[^_]*$') in ('tion', 'tions', 'heit', 'heits', 'de', 'des') or string_split(tag, '_')[1] in ('th', 'le') group by tag""")
+@query("character_tags", f"""with {V.ITEMS} select tag, count(*) as n from tag where tag not in ('de', 'le')
+ and (regexp_extract(tag, '[^_]*$') in ('tion', 'tions', 'heit', 'heits', 'de', 'des') or string_split(tag, '_')[1] in ('th', 'le')) group by tag""")
 def character_tags(spark, sf_dir):
     found = K.tag_frequency(V.items(spark, sf_dir), F.col("names"))
     return found.where(G.is_character_tag(F.col("tag"), WHITELIST, SUFFIXES, PREFIXES))

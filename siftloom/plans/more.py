@@ -96,12 +96,93 @@ def char_dictionary(spark, sf_dir):
 
 
 @query("emb_init_merge", """with o as (select distinct source as name, lang as init from documents where doc_id % 2 = 0), a as (select name, string_agg(init, ' ' order by init) as init from o group by name),
-n as (select distinct source as name from documents) select n.name, case when a.init is null then 'masterpiece' else a.init || ' masterpiece' end as init from n left join a using (name)""")
+n as (select distinct source as name from documents), f as (select distinct source as name, 'tag' || (doc_id % 3) as tag from documents where doc_id % 3 <> 0),
+g as (select name, string_agg(tag, ' ' order by tag) as more from f group by name),
+m as (select name, coalesce(a.init, '') as init, coalesce(more, '') as more from n full join a using (name) full join g using (name))
+select name, trim(init || ' ' || more) as init from m union all select 'booru', 'masterpiece' union all select 'screenshots', 'anime screencap' union all select 'other', ''""")
 def emb_init_merge(spark, sf_dir):
-    """Embedding starts: those known, with the image type's default words that they lack."""
+    """Embedding starts: those known, names without one, image types with their default words, and starts found in addition."""
+    from siftloom.operators.coretags import merge_emb_init
+
     d = table(spark, sf_dir, "documents")
     old = d.where("doc_id % 2 = 0").groupBy(F.col("source").alias("name")).agg(F.array_sort(F.collect_set("lang")).alias("init"))
-    new = d.select(F.col("source").alias("name")).distinct()
-    default = F.array(F.lit("masterpiece"))
-    had = F.coalesce("init", F.array().cast("array<string>"))
-    return new.join(old, "name", "left").select("name", F.array_join(F.concat(had, F.array_except(default, had)), " ").alias("init"))
+    found = d.where("doc_id % 3 <> 0").groupBy(F.col("source").alias("name")).agg(F.array_sort(F.collect_set(F.concat(F.lit("tag"), F.col("doc_id") % 3))).alias("init"))
+    merged = merge_emb_init(old, d.select(F.col("source").alias("name")).distinct(), ["booru", "screenshots", "other"], found)
+    return merged.select("name", F.trim(F.array_join("init", " ")).alias("init"))
+
+
+_WALK = """w as (select c_custkey, r_name || '+' || n_name || '+unknown' as names, c_nationkey % 4 as k, r_name, n_name, c_mktsegment as seg,
+ case c_custkey % 3 when 0 then [n_name, r_name, 'ood'] when 1 then ['old'] end as stored from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
+
+
+@query("folder_walk", f"""with {_WALK} select c_custkey, case when c_custkey % 7 = 0 then array_to_string(stored, ';') when c_custkey % 3 = 0 then array_to_string(stored, ';')
+ else array_to_string(list_sort([r_name, n_name]), ';') end as characters, case k when 0 then 'many' else k::varchar end as n_people, case when c_custkey % 7 <> 0 and c_custkey % 3 <> 0 and n_name = 'FRANCE' then 'FRANCE' end as invalid from w""")
+def folder_walk(spark, sf_dir):
+    """Characters, numbers of people and invalid names told by folders, against stored characters."""
+    from siftloom.operators.fields import folder_fields as walk
+
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    k = F.col("c_nationkey") % 4
+    people = F.when(k == 0, "manypeople").when(k == 1, "1person").otherwise(F.concat(k.cast("string"), F.lit("people")))
+    names = F.when(F.col("c_custkey") % 7 == 0, "others").otherwise(F.concat_ws("+", "r_name", "n_name", F.lit("unknown")))
+    path = F.concat_ws("/", F.lit("/data"), names, people, "c_mktsegment", F.concat(F.col("c_custkey").cast("string"), F.lit(".png")))
+    stored = F.when(F.col("c_custkey") % 3 == 0, F.array("n_name", "r_name", F.lit("ood"))).when(F.col("c_custkey") % 3 == 1, F.array(F.lit("old")))
+    allowed = F.array_except(F.array(*(F.lit(x[0]) for x in r.select("r_name").collect() + n.select("n_name").collect())), F.array(F.lit("FRANCE")))
+    told = walk(F.col("path"), "character/n_people/*", F.col("stored"), allowed)
+    out = rows.select("c_custkey", path.alias("path"), stored.alias("stored")).select("c_custkey", *(x.alias(f) for f, x in told.items()))
+    return out.select("c_custkey", F.array_join("characters", ";").alias("characters"), "n_people", F.array_join("invalid", ";").alias("invalid"))
+
+
+_RULES = "rule as (select n_nationkey::int as ord, n_name as old, case when n_nationkey % 2 = 0 then lower(n_name) else n_comment_ end as new from (select *, n_name || ' ' || n_regionkey as n_comment_ from nation) where n_nationkey % 3 <> 2)"
+
+
+def _rename_rows(spark, sf_dir):
+    """Rules from nations, and rows whose folder, tag line and caption hold their names."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    new = F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).otherwise(F.concat_ws(" ", "n_name", "n_regionkey"))
+    rules = n.where("n_nationkey % 3 <> 2").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("old"), new.alias("new"))
+    rules = rules.unionByName(spark.createDataFrame([(100, "a 1", "b"), (101, "INDIA", "IRAQ"), (102, "", "no")], rules.schema))
+    rows = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        "c_custkey", F.concat(F.lit("d/"), F.concat_ws("+", "n_name", F.when(F.col("c_custkey") % 2 == 0, "c_mktsegment"))).alias("folder"),
+        F.concat(F.lit("character: "), F.concat_ws(", ", "n_name", "c_mktsegment")).alias("line"), F.concat_ws(" and ", "n_name", F.lit("INDIA"), "c_mktsegment").alias("caption"),
+    )
+    return rows, rules
+
+
+@query("ordered_rename", """with recursive rule as (select n_nationkey::int as ord, n_name as old, case when n_name = 'INDIA' then 'IRAQ' when n_nationkey % 2 = 0 then lower(n_name) else n_name || ' ' || n_regionkey end as new from nation where n_nationkey % 3 <> 2
+ union all select 100, 'a 1', 'b' union all select 101, 'INDIA', 'IRAQ' where 'INDIA' not in (select n_name from nation where n_nationkey % 3 <> 2)),
+step as (select *, row_number() over (order by ord) as k from rule),
+x as (select c_custkey, n_name, case when c_custkey % 2 = 0 then c_mktsegment end as seg, c_mktsegment from customer join nation on c_nationkey = n_nationkey),
+fold as (select c_custkey, n_name || ' and INDIA and ' || c_mktsegment as t, 0::bigint as k from x union all
+ select c_custkey, replace(t, old, new), step.k from fold join step on step.k = fold.k + 1)
+select x.c_custkey, case when seg is null and (x.n_name in (select old from rule) or x.n_name in (select new from rule)) then 'd/' || coalesce(rule.new, x.n_name) end as folder, 'character: ' || coalesce(rule.new, x.n_name) || ', ' || c_mktsegment as line, t as caption
+from x left join rule on rule.old = x.n_name join fold on fold.c_custkey = x.c_custkey and fold.k = (select count(*) from step)""")
+def ordered_rename(spark, sf_dir):
+    """Folders with a part that no rule knows are null; captions go through all rules in order."""
+    from siftloom.operators.fields import apply_renames, rename_rules
+
+    rows, rules = _rename_rows(spark, sf_dir)
+    return apply_renames(rows, rename_rules(rules), folder="known_folder", line="tag_line", caption="caption")
+
+
+@query("face_crops", f"""with {V.BOXES}, f as (select item, row_number() over (partition by item order by det, l, t, r, b) as i, l, t, r, b from box where score >= 0.3),
+m as (select *, least(800, trunc(greatest(r - l, b - t) * 3.0))::int as edge, greatest(trunc((l + r) / 2)::int - least(800, trunc(greatest(r - l, b - t) * 3.0))::int // 2, 0) as x, greatest(t - (b - t) // 2, 0) as y from f where greatest(r - l, b - t) < 800),
+c as (select item, i, edge, least(x, 1000 - edge) as cl, least(y, 800 - edge) as ct from m),
+h as (select c.*, f.i as j, f.l, f.t, f.r, f.b from c left join f on f.item = c.item and (f.l + f.r) / 2 - (f.r - f.l) * 0.1 >= cl and (f.l + f.r) / 2 + (f.r - f.l) * 0.1 <= cl + edge
+ and (f.t + f.b) / 2 - (f.b - f.t) * 0.1 >= ct and (f.t + f.b) / 2 + (f.b - f.t) * 0.1 <= ct + edge),
+g as (select item, i, any_value(cl) as cl, any_value(ct) as ct, any_value(edge) as edge, count(j)::int as n_faces, list([(b - t) / edge, (b - t) / 800] order by j) filter (where j is not null) as hs,
+ coalesce(sum((l - cl) / edge), 0) as left_sum from h group by item, i)
+select item, i::int as face, cl as l, ct as t, edge::int as edge, n_faces, round(left_sum, 6) + 0.0::double as left_sum, round(coalesce(list_reduce(list_concat([[0.0::double, 0.0::double]], hs), lambda a, x: case when x[1] > a[2] then x else a end)[2], 0), 9) as fh_ratio from g""")
+def face_crops(spark, sf_dir):
+    """Square crops three times as large as each face, with the faces that they hold."""
+    from siftloom.functions.boxes import face_crops as crops
+
+    boxes = V.boxes(spark, sf_dir).where("score >= 0.3")
+    rows = boxes.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("det", "l", "t", "r", "b"))).alias("d"))
+    faces = F.transform("d", lambda d: F.array(d["l"] / 1000, d["t"] / 800, d["r"] / 1000, d["b"] / 800))
+    # parts of the image give whole pixels back but for rounding
+    exact = F.transform(faces, lambda f: F.transform(f, lambda x: x + 1e-9))
+    c = rows.select("item", F.explode(crops(F.lit(1000), F.lit(800), exact, 3.0)).alias("c"))
+    left = F.aggregate("c.facepos", F.lit(0.0), lambda a, f: a + f[0])
+    return c.select("item", "c.face", "c.box.l", "c.box.t", (F.col("c.box.r") - F.col("c.box.l")).alias("edge"), "c.n_faces", (F.round(left, 6) + 0.0).alias("left_sum"), F.round("c.fh_ratio", 9).alias("fh_ratio"))

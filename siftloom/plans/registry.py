@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siftloom.plans import fields, items, more, names, selection, vectors
+from siftloom.plans import fields, items, jobs, more, names, selection, vectors
 
-MODULES: list = [items, names, vectors, selection, more, fields]
+MODULES: list = [items, names, vectors, selection, more, fields, jobs]
 ENTRY = items.captions
 
 

@@ -5,9 +5,12 @@ Rule files are small and read whole; everything else is a table of any size.
 
 from __future__ import annotations
 
+import json
+import tomllib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -66,6 +69,46 @@ def v1_tag_lines(lines: DataFrame, keep_character: bool = False) -> DataFrame:
     return rows.select("path", *(c.alias(f) for f, c in items.items()), "rating", "score")
 
 
+#: What tag_toml() makes of a file.
+TOML = "character array<string>, copyright array<string>, artist array<string>, tags array<string>, more map<string,string>, error string"
+
+
+def _toml_fields(text: str | None) -> tuple:
+    lists: dict = dict.fromkeys(("character", "copyright", "artist", "tags"))
+    try:
+        found = tomllib.loads(text or "")
+    except tomllib.TOMLDecodeError as e:
+        return (*lists.values(), None, f"no TOML: {e}")
+    odd = [k for k in lists if k in found and not isinstance(found[k], str)]
+    if odd:
+        return (*lists.values(), None, f"not a text: {', '.join(odd)}")
+    for k in lists:
+        if k in found:
+            lists[k] = [x.strip() for x in found.pop(k).split(",")]
+    if lists["character"] is not None:
+        lists["character"] = [x for x in lists["character"] if x not in V1_NOBODY]
+    return (*lists.values(), {k: v if isinstance(v, str) else json.dumps(v, default=str) for k, v in found.items()}, None)
+
+
+def tag_toml(bodies: DataFrame, keep_character: bool = False, path: str = "path", body: str = "body") -> DataFrame:
+    """(path, character, copyright, artist, tags, more, error) of tag files in TOML (path, body).
+
+    Lists are texts with commas; unknown and ood are no characters; with ``keep_character`` characters are null, so that stored ones stay. Other keys are in
+    ``more``, values that aren't text as JSON. A file that is no TOML, or in which a list isn't a text, has null fields and says why in ``error``; a null or empty one has no fields.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split(" ")[0] for x in TOML.split(", ")]
+        kinds = [*[pa.list_(pa.string())] * 4, pa.map_(pa.string(), pa.string()), pa.string()]
+        for batch in batches:
+            rows = [_toml_fields(t) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([r[i] if kinds[i] != kinds[4] or r[i] is None else list(r[i].items()) for r in rows], kinds[i]) for i in range(len(kinds))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["path", *names])
+
+    rows = bodies.select(F.col(path).cast("string"), F.col(body).cast("string")).mapInArrow(parse, f"path string, {TOML}")
+    return rows.withColumn("character", F.lit(None).cast("array<string>")) if keep_character else rows
+
+
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """(ord, line) of one small rule file."""
     return spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n", -1)).alias("ord", "line"))
