@@ -128,14 +128,14 @@ def references(measured: DataFrame) -> DataFrame:
 
 
 def divergence(counts: Column, total: Column, shares: Column) -> Column:
-    """Squared Jensen-Shannon distance, in bits, of a histogram of counts from one of shares."""
+    """Squared Jensen-Shannon distance, in bits, of a histogram of counts from one of shares; null where there are no shares."""
 
     def term(n: Column, q: Column) -> Column:
         p = n / total
         m = (p + q) / 2
         return (F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)) / 2
 
-    return F.greatest(F.lit(0.0), F.aggregate(F.zip_with(counts, shares, term), F.lit(0.0), lambda a, b: a + b))
+    return F.when(shares.isNotNull(), F.greatest(F.lit(0.0), F.aggregate(F.zip_with(counts, shares, term), F.lit(0.0), lambda a, b: a + b)))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -316,3 +316,29 @@ def test_pipeline_stages(spark, odd, empty):
             assert stage(spark, docs, SF).columns == docs.columns, name
             stage(spark, docs, SF).collect()
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_words_with_odd_white_space():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    r, kinds = random.Random(11), ["a", "b", "Wort", "é", "日本", "1", "!", "'s", " ", "  ", "\n", "\n\n", "\t", "\xa0", " \n", "\r", "　", "\x1c", "\x0b", "\x85", "﻿", "<|"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        fast, plain = FastTokenizer(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+        texts = ["a  b\tc", *("".join(r.choice(kinds) for _ in range(r.randrange(14))) for _ in range(3000))]
+        for text, ids in zip(texts, fast.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_token_file_query(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain, start, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect():
+        ids = np.array([*plain.encode(r.text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        want[r.doc_id] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in op9_token_files.op9_token_files(spark, SF).collect()} == want
