@@ -16,7 +16,7 @@ from siftloom.operators import coretags as K
 from siftloom.operators import similar as S
 from siftloom.operators.fields import prune_tags
 from siftloom.operators.select import propagate_labels, sample_rows
-from siftloom.session import materialize
+from siftloom.session import materialize, private
 
 _TAGS = "array<struct<tag:string,score:double>>"
 MODES = ("none", "minimal", "character", "character_core")
@@ -72,15 +72,16 @@ def tag_and_caption(
     if mode not in MODES:
         raise ValueError(f"no such mode: {mode}")
     rows = items
+    pruned_to, shown, drop_of, core_of, of, new_of = private(items, "_pruned", "_shown", "_drop", "_core", "_of", "_new")
     if predicted is not None:
-        new = predicted.select(F.col("item_id").alias("_of"), F.col("tags").alias("_new"))
-        rows = rows.join(new, F.col("item_id") == F.col("_of"), "left").withColumn("tags", F.coalesce("_new", "tags") if overwrite else F.coalesce("tags", "_new")).drop("_of", "_new")
+        new = predicted.select(F.col("item_id").alias(of), F.col("tags").alias(new_of))
+        rows = rows.join(new, F.col("item_id") == F.col(of), "left").withColumn("tags", F.coalesce(new_of, "tags") if overwrite else F.coalesce("tags", new_of)).drop(of, new_of)
     source = G.tag_source(F.col("tags"), F.col("processed_tags"), from_original, overwrite)
     first = "minimal" if mode == "character_core" else mode
     pruned = prune_tags(G.remove_underscore(source), F.col("characters"), first, rules.listed(), rules.overlaps(), rules.drops)
-    rows = rows.withColumn("_pruned", pruned).withColumns({"processed_tags": F.col("_pruned.kept"), "dropped_character_tags": F.col("_pruned.dropped").cast(_TAGS)}).drop("_pruned")
+    rows = rows.withColumn(pruned_to, pruned).withColumns({"processed_tags": F.col(pruned_to)["kept"], "dropped_character_tags": F.col(pruned_to)["dropped"].cast(_TAGS)}).drop(pruned_to)
     # unknown names nobody
-    rows = rows.withColumn("_shown", F.filter(F.coalesce("characters", F.array().cast("array<string>")), lambda x: x != "unknown"))
+    rows = rows.withColumn(shown, F.filter(F.coalesce("characters", F.array().cast("array<string>")), lambda x: x != "unknown"))
     core = None
     if mode == "character_core":
         rows = materialize(rows, "pruned")
@@ -89,21 +90,21 @@ def tag_and_caption(
         embedding = N.embedding_name(N.parse_character(F.col("character")))
         core = materialize(K.categories(counted, rules.drops(F.col("tag")), rules.starts(F.col("tag")), embedding), "core")
         lists = core.groupBy("character").agg(F.collect_set(F.when(F.col("dropped") | F.col("emb_init"), F.col("tag"))).alias("drop"))
-        mine = rows.select("item_id", F.posexplode("_shown").alias("at", "character")).join(lists, "character").groupBy("item_id").agg(
-            F.array_distinct(F.flatten(F.collect_list("drop"))).alias("_drop"), F.transform(F.array_sort(F.collect_list(F.struct("at", "character"))), lambda x: x["character"]).alias("_core")
+        mine = rows.select(F.col("item_id").alias(of), F.posexplode(shown).alias("at", "character")).join(lists, "character").groupBy(of).agg(
+            F.array_distinct(F.flatten(F.collect_list("drop"))).alias(drop_of), F.transform(F.array_sort(F.collect_list(F.struct("at", "character"))), lambda x: x["character"]).alias(core_of)
         )
-        rows = rows.join(mine, "item_id", "left")
-        goes = lambda t: F.coalesce(F.array_contains("_drop", t["tag"]), F.lit(False))
+        rows = rows.join(mine, F.col("item_id") == F.col(of), "left").drop(of)
+        goes = lambda t: F.coalesce(F.array_contains(drop_of, t["tag"]), F.lit(False))
         has = F.size(F.coalesce("characters", F.array().cast("array<string>"))) > 0
         rows = rows.withColumns({
             "dropped_character_tags": F.when(has, F.filter("processed_tags", goes)), "processed_tags": F.filter("processed_tags", lambda t: ~goes(t)),
-            "_shown": F.coalesce("_core", F.array().cast("array<string>")),
-        }).drop("_drop", "_core")
+            shown: F.coalesce(core_of, F.array().cast("array<string>")),
+        }).drop(drop_of, core_of)
     put = lambda c: G.sort_tags(c, order, F.col("item_id"), seed)
     last = put(F.col("dropped_character_tags")) if append_dropped else None
     rows = rows.withColumn("processed_tags", G.append_and_truncate(put(F.col("processed_tags")), last, most))
-    named = {c: F.col(c) for c in items.columns} | {"tags": F.col("processed_tags"), "shown": F.col("_shown")}
-    return rows.withColumn("caption", C.caption(parts(named), F.col("item_id"), seed=seed, **(caption or {}))).drop("_shown"), core
+    named = {c: F.col(c) for c in items.columns} | {"tags": F.col("processed_tags"), "shown": F.col(shown)}
+    return rows.withColumn("caption", C.caption(parts(named), F.col("item_id"), seed=seed, **(caption or {}))).drop(shown), core
 
 
 def select_images(
@@ -169,14 +170,16 @@ def import_metadata(images: DataFrame, stored: DataFrame, sidecars: dict[str, Da
     from siftloom.sources.files import item_metadata
     from siftloom.sources.scan import base_key
 
-    rows = item_metadata(images, stored, overwrite_path).withColumn("_base", base_key(F.col("current_path")))
+    rows = item_metadata(images, stored, overwrite_path)
+    own, of, found, renamed, at = private(rows, "_base", "_of", "_values", "_named", "_at")
+    rows = rows.withColumn(own, base_key(F.col("current_path")))
     scored = lambda v: F.transform(v, lambda t: F.struct(t.alias("tag"), F.lit(None).cast("double").alias("score")))
 
     def put(rows: DataFrame, name: str, values: DataFrame, shape: Callable[[Column], Column]) -> DataFrame:
-        one = values.groupBy(F.col("base").alias("_of")).agg(F.min("values").alias("_values"))
-        joined = rows.join(one, F.col("_base") == F.col("_of"), "left")
-        found = shape(F.col("_values"))
-        return joined.withColumn(name, F.coalesce(found, F.col(name)) if name in rows.columns else found).drop("_of", "_values")
+        one = values.groupBy(F.col("base").alias(of)).agg(F.min("values").alias(found))
+        joined = rows.join(one, F.col(own) == F.col(of), "left")
+        new = shape(F.col(found))
+        return joined.withColumn(name, F.coalesce(new, F.col(name)) if name in rows.columns else new).drop(of, found)
 
     lists = {"characters": lambda v: v, "copyright": lambda v: v, "artist": lambda v: v, "tags": scored}
     for name, values in (sidecars or {}).items():
@@ -186,8 +189,8 @@ def import_metadata(images: DataFrame, stored: DataFrame, sidecars: dict[str, Da
             rows = put(rows, name, grabbed.where(F.col("field") == name), shape)
     if mapping is not None and "characters" in rows.columns:
         pairs = mapping.where("new is not null and new <> ''").groupBy("old").agg(F.min("new").alias("new"))
-        named = rows.select("_base", F.posexplode("characters").alias("at", "old")).join(pairs, "old", "left").groupBy("_base").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("new", "old").alias("x")))), lambda s: s["x"]).alias("_named")
+        named = rows.select(F.col(own).alias(of), F.posexplode("characters").alias(at, "old")).join(pairs, "old", "left").groupBy(of).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct(at, F.coalesce("new", "old").alias("x")))), lambda s: s["x"]).alias(renamed)
         )
-        rows = rows.join(named, "_base", "left").withColumn("characters", F.coalesce("_named", "characters")).drop("_named")
-    return rows.drop("_base")
+        rows = rows.join(named, F.col(own) == F.col(of), "left").withColumn("characters", F.coalesce(renamed, "characters")).drop(of, renamed)
+    return rows.drop(own)

@@ -32,6 +32,8 @@ def image_base(folder: str, name: str) -> tuple[str, int] | None:
     if not name.lower().endswith(".json"):
         return None
     stem = name[:-5]
+    if not stem:
+        return None
     if stem.startswith("."):
         return (f"{folder}/{stem[1:-5]}", 0) if stem.endswith("_meta") and len(stem) > 6 else None
     return (f"{folder}/{stem[:-5]}", 1) if stem.endswith("_meta") and len(stem) > 5 else (f"{folder}/{stem}", 2)
