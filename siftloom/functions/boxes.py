@@ -26,6 +26,48 @@ def head_box(face: Column, width: Column, height: Column, scale: float = 1.5) ->
     return box(F.floor(F.greatest(mx - w, F.lit(0))), F.floor(F.greatest(my - h, F.lit(0))), F.floor(F.least(mx + w, width)), F.floor(F.least(my + h, height)))
 
 
+def head_crop(face: Column, width: Column, height: Column, scale: float = 1.5) -> Column:
+    """A square about a face: ``scale`` times the face's longer edge, at most the image's shorter one, the face in its middle across and half a face below its
+    top, moved into the image. A face longer than the image's shorter edge gets the whole image, padded to a square: places outside the image are padding."""
+    longer, edges = F.greatest(face["r"] - face["l"], face["b"] - face["t"]), F.least(width, height)
+
+    def placed(edge: Column) -> Column:
+        x = F.greatest(((face["l"] + face["r"]) / 2).cast("int") - F.floor(edge / 2), F.lit(0))
+        y = F.greatest(face["t"].cast("int") - F.floor((face["b"] - face["t"]) / 2), F.lit(0))
+        left, top = F.least(x, width - edge), F.least(y, height - edge)
+        return box(left, top, left + edge, top + edge)
+
+    whole = F.greatest(width, height)
+    left, top = -F.floor((whole - width) / 2), -F.floor((whole - height) / 2)
+    return F.when(longer > edges, box(left, top, left + whole, top + whole)).otherwise(once(F.least(edges, (longer * F.lit(float(scale))).cast("int")), placed))
+
+
+#: Words for where a face is, by its middle in parts of the image: the place beyond which the next word holds.
+THREE = ((0.38, "at left"), (0.62, "in the middle"), (None, "at right"))
+ACROSS = ((0.2, "fhll"), (0.4, "fhml"), (0.6, "fhmd"), (0.8, "fhmr"), (None, "fhri"))
+DOWN = ((0.2, "fvtp"), (0.4, "fvmt"), (0.6, "fvmd"), (0.8, "fvmb"), (None, "fvbt"))
+
+
+def _place(x: Column, words: tuple) -> Column:
+    out = F.lit(words[-1][1])
+    for most, word in reversed(words[:-1]):
+        out = F.when(x < most, word).otherwise(out)
+    return out
+
+
+def legacy_places(texts: Column) -> Column:
+    """Faces as arrays of left, top, right, bottom from old texts ``v top bottom h left right`` in hundredths."""
+    number = lambda t, i: F.element_at(F.split(t, " "), F.lit(i)).try_cast("int") / 100
+    return F.transform(texts, lambda t: F.array(number(t, 5), number(t, 2), number(t, 6), number(t, 3)))
+
+
+def face_places(faces: Column, codes: bool = False) -> Column:
+    """Words for the places of faces (arrays of left, top, right, bottom in parts of the image), in order: left, middle or right, or a code across and one down."""
+    across, down = (lambda f: (f[0] + f[2]) / 2), (lambda f: (f[1] + f[3]) / 2)
+    one = (lambda f: F.concat_ws(" ", _place(across(f), ACROSS), _place(down(f), DOWN))) if codes else (lambda f: _place(across(f), THREE))
+    return F.array_join(F.transform(faces, one), " ")
+
+
 def square_crop(face: Column, width: Column, height: Column) -> Column:
     """The largest square of the image, moved along its longer edge so that the face's middle is as near its own as can be."""
     edge = F.least(width, height)

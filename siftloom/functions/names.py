@@ -17,18 +17,37 @@ def parse_title(filename: Column) -> Column:
     return F.struct(name.alias("name"), F.when(cut, number.try_cast("int")).alias("episode"))
 
 
+#: Fixed value: characters of a part of a name that file systems refuse.
+REFUSED = r'[<>:"/\\?*]'
+
+
 def _listed(part: Column, inner: str) -> Column:
-    items = F.transform(F.split(part, rf"\Q{inner}\E", -1), lambda x: F.trim(x))
+    items = F.transform(F.split(part, rf"\Q{inner}\E", -1), lambda x: F.regexp_replace(F.trim(x), REFUSED, "_"))
     return F.when(part.isNull() | (part == "") | (F.lower(part) == "none"), F.array().cast("array<string>")).otherwise(F.filter(items, lambda x: x != ""))
 
 
 def parse_character(text: Column, inner: str = "+", outer: str = "|") -> Column:
-    """struct<name, appearance, outfit, accessories, objects, extra_features> of ``name|appearance|outfit+…|…``; ``none`` and missing parts are empty."""
+    """struct<name, appearance, outfit, accessories, objects, extra_features> of ``name|appearance|outfit+…|…``; ``none`` and missing parts are empty.
+    Characters that file systems refuse become underscores."""
     parts = F.transform(F.split(text, rf"\Q{outer}\E", -1), lambda x: F.trim(x))
     part = lambda i: F.get(parts, F.lit(i))
-    look = F.when(part(1).isNull() | (part(1) == "") | (F.lower(part(1)) == "none"), F.lit(None)).otherwise(part(1))
+    safe = lambda x: F.regexp_replace(x, REFUSED, "_")
+    look = F.when(part(1).isNull() | (part(1) == "") | (F.lower(part(1)) == "none"), F.lit(None)).otherwise(safe(part(1)))
     names = ("outfit", "accessories", "objects", "extra_features")
-    return F.struct(part(0).alias("name"), look.cast("string").alias("appearance"), *(_listed(part(i + 2), inner).alias(n) for i, n in enumerate(names)))
+    return F.struct(safe(part(0)).alias("name"), look.cast("string").alias("appearance"), *(_listed(part(i + 2), inner).alias(n) for i, n in enumerate(names)))
+
+
+def extra_embeddings(c: Column) -> Column:
+    """Items of a parsed character that are embeddings of their own: those that begin with an underscore, in order."""
+    return F.filter(F.concat(*(c[n] for n in ("outfit", "accessories", "objects", "extra_features"))), lambda x: x.startswith("_"))
+
+
+def caption_character(c: Column, inner: str = " ", outer: str = ", ") -> Column:
+    """A parsed character in a caption: its name, or embedding name where the appearance is one, with any other appearance after it, then the parts that have a value."""
+    look = c["appearance"]
+    name = F.when(look.isNull() | (look == ""), c["name"]).when(look.startswith("_"), embedding_name(c)).otherwise(F.concat_ws(inner, c["name"], look))
+    lists = [F.when(F.size(c[n]) > 0, F.array_join(c[n], inner)) for n in ("outfit", "accessories", "objects", "extra_features")]
+    return F.concat_ws(outer, name, *lists)
 
 
 def format_character(c: Column, inner: str = "+", outer: str = "|") -> Column:
@@ -55,9 +74,11 @@ def strip_number(folder: Column) -> Column:
 
 
 def natural_key(path: Column) -> Column:
-    """A text whose order is that of the path with numbers compared as numbers (up to 20 digits)."""
+    """A text whose order is that of the path with numbers compared as numbers, up to as many digits as there are: of two numbers the shorter one, without zeros before it, comes first."""
     runs = F.regexp_extract_all(path, F.lit(r"\d+|\D+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 20, "0")).otherwise(x)), "")
+    bare = lambda x: F.regexp_replace(x, r"^0+(?=\d)", "")
+    # the number of digits stands before them; 10 digits hold any length of a text
+    return F.array_join(F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.concat(F.lpad(F.length(bare(x)).cast("string"), 10, "0"), bare(x))).otherwise(x)), "")
 
 
 def flatten_path(path: Column, repeat: Column) -> Column:

@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siftloom.operators.graph import connected_components
+from siftloom.operators.ranks import number_rows
 from siftloom.session import Scratch, materialize
 
 
@@ -214,6 +214,6 @@ def label_counts(labels: DataFrame) -> DataFrame:
 
 
 def dense_ids(rows: DataFrame, name: str, order: str) -> DataFrame:
-    """(name, id): distinct names numbered from 0 by first appearance. The numbering is over distinct names only."""
-    firsts = rows.groupBy(name).agg(F.min(order).alias("first"))
-    return firsts.select(name, (F.row_number().over(Window.orderBy("first", name)) - 1).alias("id"))
+    """(name, id): distinct names numbered from 0 by first appearance, ties by name."""
+    firsts = rows.groupBy(name).agg(F.min(order).alias("_first"))
+    return number_rows(firsts, ["_first", name], "id", first=0).select(name, F.col("id").cast("int").alias("id"))

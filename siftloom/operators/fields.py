@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siftloom.functions import tags as G
 from siftloom.functions.names import base_name
+from siftloom.operators.ranks import number_rows
 from siftloom.session import private
 
 #: Parts of tags that tell of hair, and the tag that is never kept.
@@ -50,10 +50,9 @@ def merge_references(known: DataFrame, references: DataFrame) -> DataFrame:
     """
     have = known.groupBy("character").agg(F.min("label").alias("shared"))
     refs = references.select(F.col("label").alias("ref_label"), "character").join(have, "character", "left")
-    # catalogues of characters are small: one row for each
     first = known.agg(F.coalesce(F.max("label") + 1, F.lit(0)).alias("first"))
     fresh = refs.where("shared is null").groupBy("character").agg(F.min("ref_label").alias("lowest"))
-    fresh = fresh.withColumn("place", F.row_number().over(Window.orderBy("lowest")) - 1).join(F.broadcast(first))
+    fresh = number_rows(fresh, ["lowest", "character"], "place", first=0).join(F.broadcast(first))  # one row
     fresh = fresh.select((F.col("first") + F.col("place")).cast("long").alias("label"), "character").join(refs.where("shared is null").select("character", "ref_label"), "character")
     shared = refs.where("shared is not null").select(F.col("shared").alias("label"), "character", "ref_label")
     return known.select(F.col("label").cast("long").alias("label"), "character").join(shared, ["label", "character"], "left").unionByName(fresh)

@@ -87,12 +87,11 @@ def label_folders(spark, sf_dir):
 @query("char_dictionary", "with n as (select distinct source as character from documents union select distinct lang || '|' || source from documents) select character, (row_number() over (order by character) - 1)::int as id, split_part(character, '|', 1) as base from n")
 def char_dictionary(spark, sf_dir):
     """Characters of items and of a second list with dense ids by name, and their base names."""
-    from pyspark.sql.window import Window
+    from siftloom.operators.ranks import number_rows
 
     d = table(spark, sf_dir, "documents")
     names = d.select(F.col("source").alias("character")).union(d.select(F.concat("lang", F.lit("|"), "source"))).distinct()
-    # the numbering is over distinct characters only
-    return names.select("character", (F.row_number().over(Window.orderBy("character")) - 1).alias("id"), N.base_name(F.col("character")).alias("base"))
+    return number_rows(names, ["character"], "id", first=0).select("character", F.col("id").cast("int").alias("id"), N.base_name(F.col("character")).alias("base"))
 
 
 @query("emb_init_merge", """with o as (select distinct source as name, lang as init from documents where doc_id % 2 = 0), a as (select name, string_agg(init, ' ' order by init) as init from o group by name),
@@ -186,3 +185,125 @@ def face_crops(spark, sf_dir):
     c = rows.select("item", F.explode(crops(F.lit(1000), F.lit(800), exact, 3.0)).alias("c"))
     left = F.aggregate("c.facepos", F.lit(0.0), lambda a, f: a + f[0])
     return c.select("item", "c.face", "c.box.l", "c.box.t", (F.col("c.box.r") - F.col("c.box.l")).alias("edge"), "c.n_faces", (F.round(left, 6) + 0.0).alias("left_sum"), F.round("c.fh_ratio", 9).alias("fh_ratio"))
+
+
+_V1 = f"""{V.ITEMS}, n as (select doc_id, pos, tag || ['_hair', ' eyes', 'girls', '', ''][length(tag) % 5 + 1] as tag from tag),
+k as (select *, regexp_matches(tag, 'boy|girl|solo') as people from n),
+x as (select * from k where people or case when regexp_matches(tag, 'hair|ponytail|twintail|braid|bun|bangs|ahoge') then false when contains(tag, 'eyes') then true else tag <> 'parody' end),
+o as (select *, row_number() over (partition by doc_id order by people desc, pos) as p from x),
+t as (select doc_id, string_agg(tag, ', ' order by p) as tags from o where p <= 20 group by doc_id),
+w as (select item.*, doc_id % 2 = 0 and len(characters) = 1 as worn, case when doc_id % 5 = 0 then 'at left' when doc_id % 5 = 1 then 'in the middle at right' end as places,
+ list_transform(characters, lambda c: case when contains(c, '|') then replace(c, '|', ', ') else c end) as named from item)"""
+_V1_REST = """case when doc_id % 7 = 0 then 'from x y' end, type, case when doc_id % 6 <> 0 then 'by me' end, case when rating = 'e' then 'explicit' end, places, nullif(coalesce(tags, ''), '')"""
+
+
+def _v1_rows(spark, sf_dir, embeddings, sep):
+    from siftloom.functions import boxes as B
+    from siftloom.functions import captions as C
+    from siftloom.operators.fields import filter_v1
+
+    ends = F.array(*map(F.lit, ("_hair", " eyes", "girls", "", "")))
+    words = F.transform("names", lambda w: F.concat(w, F.element_at(ends, (F.length(w) % 5 + 1).cast("int"))))
+    kept = filter_v1(words, F.array().cast("array<string>"), F.lit(False), drop_hair=True, most=20)
+    k = F.col("doc_id") % 5
+    face = lambda x: F.array(*map(F.lit, (x, 0.1, x + 0.1, 0.2)))
+    faces = F.when(k == 0, F.array(face(0.2))).when(k == 1, F.array(face(0.5), face(0.7)))
+    uniform = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(C.TRACEN))).otherwise(F.array().cast("array<string>"))
+    rows = V.items(spark, sf_dir).withColumn("named", F.transform("characters", lambda c: F.replace(c, F.lit("|"), F.lit(", ")))).withColumn("kept", F.concat(kept, uniform))
+    fields = {
+        "n_people": F.when(F.col("doc_id") % 3 == 0, (F.col("doc_id") % 4).cast("string")), "characters": F.concat("named", F.array(F.lit("ood"))),
+        "copyright": F.when(F.col("doc_id") % 7 == 0, F.array(F.lit("x"), F.lit("unknown"), F.lit("y"))), "general": F.col("type"),
+        "artist": F.when(F.col("doc_id") % 6 == 0, F.array(F.lit("anonymous"))).otherwise(F.array(F.lit("me"))), "rating": F.when(F.col("rating") == "e", "explicit").otherwise(F.col("rating")),
+    }
+    caption = C.v1_caption(F.col("item_id"), fields, F.col("kept"), B.face_places(faces), sep, embeddings)
+    return rows.select("item_id", caption.alias("caption"), F.array_join(C.v1_embeddings(F.col("named")), ";").alias("embeddings"))
+
+
+_V1_TAGS = "nullif(coalesce(tags, '') || case when doc_id % 2 = 0 and len(characters) <> 1 then case when coalesce(tags, '') = '' then '' else ', ' end || 'tracen school uniform' else '' end, '')"
+
+
+def _v1_sql(sep: str, outfits: bool) -> str:
+    form = "list_transform(named, lambda c: case when contains(c, ',') then split_part(c, ',', 1) || ', ' || replace(replace(c, ',', ''), ' ', '-') else c end)" if outfits else "named"
+    people = "case when doc_id % 3 = 0 then (doc_id % 4) || case when doc_id % 4 = 1 then 'person' else 'people' end end"
+    who = f"nullif(case when worn then split_part(({form})[1], ',', 1) || ', tracen school uniform' else array_to_string({form}, '{sep} ') end, '')"
+    rest = _V1_REST.replace("nullif(coalesce(tags, ''), '')", _V1_TAGS)
+    made = "array_to_string(list_distinct_(named), ';')".replace("list_distinct_(named)", "list_transform(list_filter(named, lambda c: contains(c, ',')), lambda c: replace(replace(c, ',', ''), ' ', '-'))")
+    return f"with {_V1} select item_id, replace(concat_ws('{sep} ', {people}, {who}, {rest}), '_', ' ') as caption, {made} as embeddings from w left join t using (doc_id)"
+
+
+@query("v1_captions", _v1_sql(",", False))
+def v1_captions(spark, sf_dir):
+    """Old captions between commas, over words given the endings of tag families; every second item has the school uniform."""
+    return _v1_rows(spark, sf_dir, False, ",")
+
+
+@query("v1_captions_embeddings", _v1_sql(";", True))
+def v1_captions_embeddings(spark, sf_dir):
+    """Old captions between semicolons, outfits as names of embeddings."""
+    return _v1_rows(spark, sf_dir, True, ";")
+
+
+@query("head_crops", f"""with {V.BOXES}, m as (select item, det, l, t, r, b, least(800, trunc(greatest(r - l, b - t) * 4.5))::int as e from box)
+select item, det, least(greatest(trunc((l + r) / 2)::int - e // 2, 0), 1000 - e)::int as l, least(greatest(t - (b - t) // 2, 0), 800 - e)::int as t, e as edge from m""")
+def head_crops(spark, sf_dir):
+    from siftloom.functions import boxes as B
+
+    rows = V.boxes(spark, sf_dir).select("item", "det", B.head_crop(F.struct("l", "t", "r", "b"), F.lit(1000), F.lit(800), 4.5).alias("c"))
+    return rows.select("item", "det", "c.l", "c.t", (F.col("c.r") - F.col("c.l")).alias("edge"))
+
+
+@query("face_codes", f"""with {V.BOXES}, p as (select item, det, l, t, r, b, score, kind, ((l + r) / 2) / 1000 as x, ((t + b) / 2) / 800 as y from box),
+w as (select *, case when x < 0.2 then 'fhll' when x < 0.4 then 'fhml' when x < 0.6 then 'fhmd' when x < 0.8 then 'fhmr' else 'fhri' end || ' ' ||
+ case when y < 0.2 then 'fvtp' when y < 0.4 then 'fvmt' when y < 0.6 then 'fvmd' when y < 0.8 then 'fvmb' else 'fvbt' end as code from p)
+select item, string_agg(code, ' ' order by det, l, t, r, b) as codes from w group by item""")
+def face_codes(spark, sf_dir):
+    """Codes of the places of each image's faces, in order."""
+    from siftloom.functions import boxes as B
+
+    faces = F.array_sort(F.collect_list(F.struct("det", "l", "t", "r", "b")))
+    rows = V.boxes(spark, sf_dir).groupBy("item").agg(faces.alias("f"))
+    # middles first, as whole numbers, so that both engines divide alike
+    places = F.transform("f", lambda f: F.array((f["l"] + f["r"]) / 2 / 1000, (f["t"] + f["b"]) / 2 / 800, (f["l"] + f["r"]) / 2 / 1000, (f["t"] + f["b"]) / 2 / 800))
+    return rows.select("item", B.face_places(places, codes=True).alias("codes"))
+
+
+@query("dressed_vote", """with x as (select vec_id, generate_subscripts(embedding, 1) - 1 as i, unnest(embedding)::double as p from embeddings),
+a as (select vec_id, i % 10 as c, p, i // 10 as m from x where i < 30), r as (select *, row_number() over (partition by vec_id, m order by p desc, 'c' || c) as k from a),
+b as (select vec_id, max(p) filter (where m = 0) as p0, max(c) filter (where m = 0) as c0, max(p) filter (where m = 1) as p1, max(c) filter (where m = 1) as c1, max(p) filter (where m = 2) as p2, max(c) filter (where m = 2) as c2 from r where k = 1 group by vec_id),
+v as (select *, case when greatest(p0, p1) <= 0.15 then 'unknown' when (case when p1 >= p0 then c1 else c0 end) = 9 then 'unknown' else 'c' || (case when p1 >= p0 then c1 else c0 end) end as ch from b)
+select vec_id as item, case when p2 > 0.15 and c2 <> 3 and ch <> 'unknown' then ch || ', c' || c2 else ch end as character from v""")
+def dressed_vote(spark, sf_dir):
+    """Two models' vote, and a third one's outfit."""
+    from siftloom.operators.labels import model_vote
+
+    e = table(spark, sf_dir, "embeddings")
+
+    def scores(start, odd):
+        p = e.select(F.col("vec_id").alias("item"), F.posexplode(F.slice("embedding", start, 10)).alias("k", "p"))
+        name = F.when(F.col("k") == odd[0], odd[1]).otherwise(F.concat(F.lit("c"), F.col("k").cast("string")))
+        return p.select("item", name.alias("class"), F.col("p").cast("double").alias("p"))
+
+    return model_vote(scores(1, (9, "ood")), 0.15, scores(11, (9, "ood")), scores(21, (3, "others")))
+
+
+@query("decoded_ids", """with w as (select p_partkey, string_split(p_name, ' ') as ws from part), t as (select p_partkey, unnest(ws) as token, unnest(range(len(ws))) as i from w),
+v as (select token, count(*) as n from t group by token having count(*) >= 20) select p_partkey, string_agg(case when v.token is null then '[UNK]' else t.token end, ' ' order by i) || ' [SEP]' as words from t left join v using (token) group by p_partkey""")
+def decoded_ids(spark, sf_dir):
+    """Part names as ids of a vocabulary and back; rare words are lost."""
+    from siftloom.operators import labels as L
+
+    words = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("at", "token"))
+    known = L.vocabulary(words.select("token", (F.col("p_partkey") * 10 + F.col("at")).alias("ord")), 20)
+    ids = words.join(known, "token", "left").groupBy("p_partkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("ids"))
+    ids = ids.select("p_partkey", F.concat("ids", F.array(F.lit(L.SEP).cast("long"))).alias("ids"))
+    return L.decode_tokens(ids, "ids", known, "p_partkey").select("p_partkey", F.array_join("words", " ").alias("words"))
+
+
+@query("extra_embeddings", """select doc_id, case when doc_id % 3 = 0 then '_' || lang || ';_cap' else '_cap' end as embeddings, source || case when doc_id % 2 = 0 then ' x_y' else '_' || lang end || case when doc_id % 3 = 0 then ', _' || lang else '' end || ', hat _cap' as caption from documents""")
+def extra_embeddings(spark, sf_dir):
+    """Embeddings among a character's outfits and accessories, and the character in a caption."""
+    part = F.when(F.col("doc_id") % 2 == 0, "x/y").otherwise(F.concat(F.lit("_"), "lang"))
+    worn = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("_"), "lang")).otherwise("none")
+    c = N.parse_character(F.concat_ws("|", "source", part, worn, F.lit("hat+_cap")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", c.alias("c"))
+    return rows.select("doc_id", F.array_join(N.extra_embeddings(F.col("c")), ";").alias("embeddings"), N.caption_character(F.col("c")).alias("caption"))

@@ -78,6 +78,34 @@ def crop_label_propagation(spark, sf_dir):
     return out.select(F.substring("item_id", 2, 30).cast("long").alias("item_id"), F.array_join("characters", ";").alias("characters"))
 
 
+@query("crop_labels_kept", """with c as (select o_custkey as pid, o_orderkey as k, o_orderpriority || '|' || o_orderstatus as ch from orders),
+u as (select pid, arg_max(ch, k) as f from c where ch like '1-URGENT|%' group by pid) select c_custkey as item_id, coalesce(f, '1-URGENT') || ';' || c_mktsegment as characters from customer left join u on pid = c_custkey""")
+def crop_labels_kept(spark, sf_dir):
+    """Parents keep their own names; a crop's form of the same name, the last one, takes its place."""
+    crops = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), "o_orderkey").alias("item_id"), F.concat(F.lit("c"), "o_custkey").alias("parent_id"), F.col("o_orderkey").alias("ord"),
+        F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("character"),
+    )
+    parents = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("item_id"), F.array(F.lit("1-URGENT"), F.col("c_mktsegment")).alias("characters"))
+    out = S.propagate_labels(crops, parents, overwrite=False)
+    return out.select(F.substring("item_id", 2, 30).cast("long").alias("item_id"), F.array_join("characters", ";").alias("characters"))
+
+
+@query("sample_rest")
+def sample_rest(spark, sf_dir):
+    """A hundred documents of those without characters, by a seeded hash."""
+    return S.sample_rows(V.items(spark, sf_dir).where(F.size("characters") == 0).select("item_id"), "item_id", 100, 7)
+
+
+@query("shuffled_tags")
+def shuffled_tags(spark, sf_dir):
+    """Tags that count people first, the rest in an order drawn by a seeded hash, thirty of them."""
+    from siftloom.functions import tags as G
+
+    shuffled = G.append_and_truncate(G.sort_tags(F.col("tags"), "shuffle", F.col("item_id"), 3), None, 30)
+    return V.items(spark, sf_dir).select("item_id", F.array_join(F.transform(shuffled, lambda t: t["tag"]), " ").alias("tags"))
+
+
 @query("large_crop_selection", f"""with {V.BOXES}, c as (select case when (r - l) * (b - t) > 0.5 * 40000 then 'p' || item else 'd' || item || '_' || det end as item_id from box),
 o as (select 'p' || o_orderkey as item_id from orders) select item_id, case when item_id in (select item_id from c) then 'classified' else 'raw' end as came_from from (select item_id from c union select item_id from o)""")
 def large_crop_selection(spark, sf_dir):

@@ -115,6 +115,18 @@ def cluster_to_ref(spark, sf_dir):
     return K.reference_votes(means, r, 0.97).select("label", "ref_label", F.round("dist", 6).alias("dist"), F.round("share", 6).alias("share"))
 
 
+@query("cluster_to_ref_avg", f"""with {_V}, {_R}, m as (select vec.label::bigint as label, ref, ref_label, avg(dist) as m from rd join vec using (item) group by all),
+b as (select label, ref_label, avg(m) as dist, avg((m <= 0.99)::int) as share from m group by all),
+r as (select *, row_number() over (partition by label order by dist, ref_label) as k from b)
+select label, ref_label, round(dist, 6) as dist, round(share, 6) as share from r where k = 1 and share >= 0.01""")
+def cluster_to_ref_avg(spark, sf_dir):
+    """The same vote by the mean over a label's references."""
+    r = refs(spark, sf_dir)
+    members = vectors(spark, sf_dir).select("item", "vec", F.col("label").alias("to"))
+    means = S.group_distances(r.select(F.col("ref").alias("item"), "vec"), members, 0.99).select(F.col("src").alias("ref"), F.col("to").alias("label"), F.col("d").alias("m"))
+    return K.reference_votes(means, r, 0.99, mode="avg").select("label", "ref_label", F.round("dist", 6).alias("dist"), F.round("share", 6).alias("share"))
+
+
 @query("cluster_to_meta", f"""with recursive {_L}, k as (select vec_id as item, label::bigint as character from embeddings where embedding[1] > 0),
 s as (select label, count(*) as size from lab where label >= 0 group by label), v as (select label, character, count(*) as n from lab join k using (item) where label >= 0 group by all),
 t as (select *, rank() over (partition by label order by n desc) as r from v), b as (select label, min(character) as character, count(*) as ties, max(n) as n from t where r = 1 group by label)

@@ -13,8 +13,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from siftloom.operators.ranks import number_rows
 from siftloom.session import private
 from siftloom.sources.scan import base_key, manifest
 from siftloom.sources.sidecars import read_sidecars
@@ -147,8 +147,7 @@ def reference_labels(images: DataFrame, root: str) -> DataFrame:
     file = F.regexp_replace(below, r"\.[^./]*$", "")
     name = F.when(folder == "", F.substring_index(file, "_", 1)).otherwise(F.replace(folder, F.lit("/"), F.lit("|")))
     named = images.select("path", name.alias("name"))
-    # one row for each character in this window
-    labels = named.groupBy("name").agg(F.min("path").alias("first")).select("name", (F.row_number().over(Window.orderBy("first")) - 1).alias("label"))
+    labels = number_rows(named.groupBy("name").agg(F.min("path").alias("first")), ["first", "name"], "label", first=0).select("name", F.col("label").cast("int").alias("label"))
     return named.join(labels, "name").select("path", "name", "label")
 
 
@@ -208,8 +207,7 @@ def class_dataset(images: DataFrame, tags: DataFrame, mode: Column | None = None
     seen = images if mode is None else images.where(mode == "RGB")
     parts = F.split("path", "/")
     named = seen.select(base_key(F.col("path")).alias("base"), "path", F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit("")).alias("class_name"), F.array_join(F.slice(parts, -2, 2), "/").alias("file"))
-    # one row for each class in this window
-    classes = named.groupBy("class_name").agg(F.min("path").alias("first")).select((F.row_number().over(Window.orderBy("first")) - 1).alias("class_id"), "class_name")
+    classes = number_rows(named.groupBy("class_name").agg(F.min("path").alias("first")), ["first", "class_name"], "class_id", first=0).select(F.col("class_id").cast("int").alias("class_id"), "class_name")
     rows = named.join(classes, "class_name").join(tags, "base", "left")
     return rows.select("class_id", "file", F.coalesce("values", F.array().cast("array<string>")).alias("tags")), classes
 
