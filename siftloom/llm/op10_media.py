@@ -1,4 +1,4 @@
-"""Media columns: PGM and BMP images as binary columns.
+"""Media columns: Netpbm and BMP images as binary columns.
 
 Images are decoded to numpy arrays, resized by exact area averages taken from an integral image, and
 written as NPY tiles with difference hashes.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,29 +32,64 @@ def encode_pgm(image: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (width, height) + image.astype(np.uint8).tobytes()
 
 
-def decode_netpbm(data: bytes) -> np.ndarray:
-    """Array of a binary PGM (P5, 2-d) or PPM (P6, 3-d), 8 or 16 bits a sample; comments are allowed in the header."""
+def _header(data: bytes, n: int) -> tuple[list[bytes], int]:
+    """The first ``n`` fields of a Netpbm image and where the last one ends; comments run from # to the line's end."""
     fields: list[bytes] = []
     at = 0
-    while len(fields) < 4:
+    while len(fields) < n:
         while data[at : at + 1].isspace():
             at += 1
         if data[at : at + 1] == b"#":
             at = data.index(b"\n", at) + 1
             continue
         end = at
-        while end < len(data) and not data[end : end + 1].isspace():
+        while end < len(data) and not data[end : end + 1].isspace() and data[end : end + 1] != b"#":
             end += 1
         if end == at:
             raise ValueError("header of a Netpbm image ends early")
         fields.append(data[at:end])
         at = end
-    kind, width, height, most = fields[0], *map(int, fields[1:])
-    if kind not in (b"P5", b"P6"):
-        raise ValueError(f"not a binary PGM or PPM: {kind!r}")
-    planes = 1 if kind == b"P5" else 3
-    samples = np.frombuffer(data, dtype=">u2" if most > 255 else np.uint8, count=width * height * planes, offset=at + 1)
-    return samples.reshape((height, width) if planes == 1 else (height, width, 3))
+    return fields, at
+
+
+def decode_netpbm(data: bytes) -> np.ndarray:
+    """Array of a Netpbm image, plain or binary: bitmaps (P1, P4; black is 0, white 255), grey (P2, P5) in 2-d, colour (P3, P6) in 3-d.
+
+    Samples are 8 bits, or 16 where the largest is over 255; of other largest values than 255 and 65535 they are scaled to those.
+    """
+    kind = data[:2]
+    if kind not in (b"P1", b"P2", b"P3", b"P4", b"P5", b"P6"):
+        raise ValueError(f"not a Netpbm image: {kind!r}")
+    bitmap, colour = kind in (b"P1", b"P4"), kind in (b"P3", b"P6")
+    fields, at = _header(data, 3 if bitmap else 4)
+    width, height, most = int(fields[1]), int(fields[2]), 1 if bitmap else int(fields[3])
+    if width < 1 or height < 1 or not 0 < most < 65536:
+        raise ValueError(f"a Netpbm image of {width} x {height} samples up to {most}")
+    n = width * height * (3 if colour else 1)
+    if kind == b"P4":
+        stride = -(-width // 8)
+        rows = np.frombuffer(data, dtype=np.uint8, count=stride * height, offset=at + 1).reshape(height, stride)
+        return np.where(np.unpackbits(rows, axis=1)[:, :width], 0, 255).astype(np.uint8)
+    if kind in (b"P5", b"P6"):
+        samples = np.frombuffer(data, dtype=">u2" if most > 255 else np.uint8, count=n, offset=at + 1)
+    else:
+        body = re.sub(rb"#[^\n]*", b"", data[at:])
+        # the digits of a plain bitmap may stand without space
+        words = list(re.sub(rb"\s+", b"", body)[:n].decode("ascii")) if bitmap else body.split()[:n]
+        if len(words) < n:
+            raise ValueError("a plain Netpbm image ends early")
+        samples = np.array(words, dtype=np.int64)
+        if samples.min() < 0:
+            raise ValueError("a negative sample")
+    if samples.max() > most:
+        raise ValueError(f"a sample over {most}")
+    if bitmap:
+        return np.where(samples, 0, 255).astype(np.uint8).reshape(height, width)
+    top = 255 if most <= 255 else 65535
+    if most != top:
+        samples = np.rint(samples.astype(np.float64) * top / most)
+    samples = samples if samples.dtype in (np.uint8, np.dtype(">u2")) else samples.astype(np.uint8 if top == 255 else ">u2")
+    return samples.reshape((height, width, 3) if colour else (height, width))
 
 
 def encode_bmp(image: np.ndarray) -> bytes:
@@ -71,24 +107,39 @@ def encode_bmp(image: np.ndarray) -> bytes:
 
 
 def decode_bmp(data: bytes) -> np.ndarray:
-    """Array of an uncompressed BMP: 2-d for 8 bits with a grey palette, else 3-d in red, green, blue order."""
+    """Array of an uncompressed BMP: 2-d for 1, 4 or 8 bits with a grey palette, else 3-d in red, green, blue order; 16 bits are five for each
+    colour, scaled to eight, and of 32 bits the last eight are left out."""
     if data[:2] != b"BM":
         raise ValueError("not a BMP")
     (start,) = struct.unpack_from("<I", data, 10)
     size, width, height, _, bits, packing = struct.unpack_from("<IiiHHI", data, 14)
-    if packing or bits not in (8, 24):
+    masks = struct.unpack_from("<III", data, 54) if packing == 3 else None
+    plain = packing == 0 or (packing == 3 and (bits, masks) in ((32, (0xFF0000, 0xFF00, 0xFF)), (16, (0x7C00, 0x3E0, 0x1F))))
+    if not plain or bits not in (1, 4, 8, 16, 24, 32):
         raise ValueError(f"BMP of {bits} bits, compression {packing}, isn't read")
-    stride = (width * bits // 8 + 3) // 4 * 4
+    if width < 1 or not height:
+        raise ValueError(f"a BMP of {width} x {height} samples")
+    stride = (width * bits + 31) // 32 * 4
     rows = np.frombuffer(data, dtype=np.uint8, count=stride * abs(height), offset=start).reshape(abs(height), stride)
-    rows = rows[:, : width * bits // 8]
     rows = rows[::-1] if height > 0 else rows
-    if bits == 24:
-        return rows.reshape(abs(height), width, 3)[:, :, ::-1]
+    if bits in (24, 32):
+        return rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
+    if bits == 16:
+        packed = np.ascontiguousarray(rows).view("<u2")[:, :width].astype(np.uint32)
+        return np.stack([((packed >> s & 31) * 255 + 15) // 31 for s in (10, 5, 0)], axis=2).astype(np.uint8)
+    if bits == 8:
+        index = rows[:, :width]
+    elif bits == 4:
+        index = np.stack([rows >> 4, rows & 15], axis=2).reshape(abs(height), -1)[:, :width]
+    else:
+        index = np.unpackbits(rows, axis=1)[:, :width]
     (used,) = struct.unpack_from("<I", data, 46)
-    palette = np.frombuffer(data, dtype=np.uint8, count=4 * (used or 256), offset=14 + size).reshape(-1, 4)
+    palette = np.frombuffer(data, dtype=np.uint8, count=4 * (used or 1 << bits), offset=14 + size).reshape(-1, 4)
+    if index.max() >= len(palette):
+        raise ValueError("a colour that the palette doesn't have")
     if (palette[:, 0] == palette[:, 1]).all() and (palette[:, 1] == palette[:, 2]).all():
-        return palette[:, 0][rows]
-    return palette[:, 2::-1][rows]
+        return palette[:, 0][index]
+    return palette[:, 2::-1][index]
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -99,9 +150,11 @@ def area_resize(image: np.ndarray, rows: int, columns: int) -> np.ndarray:
     """Exact means over a grid of equal areas, as float64; grey of a colour image is the mean of its planes.
 
     Sums come from an integral image; cells that cut pixels take the cut part of them, by linear
-    interpolation of the integral.
+    interpolation of the integral. Samples of 16 bits count as 257ths.
     """
     grey = image.astype(np.float64) if image.ndim == 2 else image.astype(np.float64).mean(axis=2)
+    if image.dtype.itemsize == 2:
+        grey = grey / 257
     total = np.zeros((grey.shape[0] + 1, grey.shape[1] + 1))
     total[1:, 1:] = grey.cumsum(axis=0).cumsum(axis=1)
 
@@ -136,7 +189,7 @@ def payload_image(data: bytes) -> np.ndarray:
 
 
 def store_texts(docs: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
-    """Adds n_bytes and ``media``: the UTF-8 payload as a grey image, BMP where its rows are even in number, else PGM.
+    """Adds n_bytes and ``media``: the UTF-8 payload as a grey image, BMP or PGM by the parity of the payload's CRC.
 
     A null or empty text is a payload of 64 zeros. Equal texts have equal images. Other columns stay,
     but for those named n_bytes and ``media``.
@@ -147,7 +200,7 @@ def store_texts(docs: DataFrame, text: str = "text", media: str = "media") -> Da
         for texts in batches:
             raw = [(t or "").encode("utf-8") for t in texts.where(texts.notna(), "")]
             images = [payload_image(x) for x in raw]
-            yield pd.DataFrame({"n_bytes": [len(x) for x in raw], "media": [encode_pgm(i) if len(i) % 2 else encode_bmp(i) for i in images]})
+            yield pd.DataFrame({"n_bytes": [len(x) for x in raw], "media": [encode_bmp(i) if zlib.crc32(i) % 2 else encode_pgm(i) for i in images]})
 
     keep = [c for c in docs.columns if c not in ("n_bytes", media)]
     (own,) = private(docs, "_stored")
@@ -155,24 +208,26 @@ def store_texts(docs: DataFrame, text: str = "text", media: str = "media") -> Da
 
 
 def media_features(stored: DataFrame, media: str = "media") -> DataFrame:
-    """Decodes ``media`` and adds payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, dhash and tile (NPY bytes).
+    """Decodes ``media`` and adds payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, dhash, tile (NPY bytes) and error.
 
-    The payload is the decoded array's bytes in row order. A null image gives nulls. Columns of those names are replaced.
+    The payload is the decoded array's bytes in row order. A null image gives nulls; one that can't be read gives its size and hash and says in ``error`` why.
+    Columns of those names are replaced.
     """
-    made = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "dhash", "tile")
+    made = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "dhash", "tile", "error")
 
     def features(data: bytes | None) -> tuple:
         if data is None:
             return (None,) * len(made)
         data = bytes(data)
-        image = decode(data)
+        own = len(data), hashlib.sha256(data).hexdigest()
+        try:
+            image = decode(data)
+        except (ValueError, struct.error) as e:  # whatever a damaged image brings
+            return (None, None, None, *own, None, None, str(e))
         payload = np.ascontiguousarray(image).tobytes()
-        return (
-            len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data),
-            hashlib.sha256(data).hexdigest(), difference_hash(image), npy_tile(image),
-        )
+        return (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *own, difference_hash(image), npy_tile(image), None)
 
-    @F.pandas_udf("payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, dhash string, tile binary")
+    @F.pandas_udf("payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, dhash string, tile binary, error string")
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for images in batches:
             yield pd.DataFrame([features(x) for x in images], columns=list(made)).astype({k: "Int64" for k in ("payload_bytes", "tail_crc32", "media_bytes")})
