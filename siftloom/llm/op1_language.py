@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A run of n letters becomes one vector: the letter
+Every letter of any script has a random vector of +1 and -1 of its own. A run of n letters becomes one vector: the letter
 vectors, rolled by their place in the run, multiplied together. A text is the sum of the vectors of
 its runs, a language the sum of its training texts, and a text takes the language of largest cosine.
 """
@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from siftloom.session import private, table
 
 DIM, GRAM, SEED = 1024, 3, 20240601
-#: Letters share this many symbols (a prime, so that Latin blocks stay apart; letters of other scripts meet them in symbols,
-#: and are told apart by their runs alone); symbol 0 is the word break.
-SYMBOLS = 193
+#: Code points; 0 stands for the word break, whose vector is one of its own.
+POINTS = 0x110000
 #: Texts of about so many symbols are bundled in one matrix product.
 BATCH_SYMBOLS = 100_000
 #: Expected number of training texts of each language.
@@ -28,63 +27,64 @@ TRAIN_ROWS = 1000
 UNKNOWN = "und"
 
 
-def _symbol_table() -> np.ndarray:
-    """Symbol of each code point of the basic plane after lower-casing: 0 unless it is a letter."""
-    return np.array([1 + cp % (SYMBOLS - 1) if chr(cp).isalpha() else 0 for cp in range(0x10000)], dtype=np.uint8)
-
-
-def _rolled_letters() -> list[np.ndarray]:
-    letters = np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.int8), size=(SYMBOLS, DIM))
-    return [np.roll(letters, GRAM - 1 - place, axis=1) for place in range(GRAM)]
-
-
 class Encoder:
-    """Bundles texts into vectors; one per Python worker."""
+    """Bundles texts into vectors; one per Python worker. A letter's vector is drawn from its code point when it is first met."""
 
     def __init__(self) -> None:
-        self.table, self.rolled = _symbol_table(), _rolled_letters()
+        self.letter = np.fromiter(map(str.isalpha, map(chr, range(POINTS))), dtype=bool, count=POINTS)
+        #: Place of each letter among the vectors, -1 before it is met; the vectors, rolled for each place in a run.
+        self.place = np.full(POINTS, -1, dtype=np.int32)
+        self.n, self.rolled = 0, [np.zeros((64, DIM), dtype=np.int8) for _ in range(GRAM)]
+
+    def meet(self, points: np.ndarray) -> None:
+        for p in points[self.place[points] < 0]:
+            if self.n == len(self.rolled[0]):
+                self.rolled = [np.concatenate([r, np.zeros_like(r)]) for r in self.rolled]
+            vector = np.random.default_rng([SEED, int(p)]).choice(np.array([-1, 1], dtype=np.int8), size=DIM)
+            for k in range(GRAM):
+                self.rolled[k][self.n] = np.roll(vector, GRAM - 1 - k)
+            self.place[p] = self.n
+            self.n += 1
 
     def symbols(self, text: str) -> np.ndarray:
-        """Symbols of a whole text, each run of non-letters as one break, with a break at both ends."""
-        cps = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        s = self.table[np.minimum(cps, 0xFFFF)]
-        if len(cps) and cps.max() > 0xFFFF:
-            s = s.copy()
-            for i in np.flatnonzero(cps > 0xFFFF):
-                s[i] = 1 + int(cps[i]) % (SYMBOLS - 1) if chr(cps[i]).isalpha() else 0
-        s = np.concatenate([[0], s, [0]]).astype(np.int32)
+        """Code points of a whole text's letters, each run of others as one break, with a break at both ends."""
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        s = np.zeros(len(points) + 2, dtype=np.uint32)
+        np.multiply(points, self.letter[points], out=s[1:-1])
         return s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
 
-    def grams(self, text: str) -> np.ndarray:
-        s = self.symbols(text)
-        if len(s) < GRAM:
-            return np.zeros(0, dtype=np.int32)
-        code = np.zeros(len(s) - GRAM + 1, dtype=np.int32)
-        for place in range(GRAM):
-            code = code * SYMBOLS + s[place : len(s) - GRAM + 1 + place]
+    def grams(self, symbols: np.ndarray) -> np.ndarray:
+        """Runs of symbols that have been met as numbers, by their places."""
+        s = self.place[symbols].astype(np.int32 if self.n**GRAM < 1 << 31 else np.int64)
+        code = np.zeros(max(0, len(s) - GRAM + 1), dtype=s.dtype)
+        for k in range(GRAM):
+            code = code * self.n + s[k : len(s) - GRAM + 1 + k]
         return code
 
-    def bundle(self, texts: list[str]) -> np.ndarray:
-        """One row of DIM numbers for each text."""
-        out = np.zeros((len(texts), DIM), dtype=np.float32)
+    def bundle(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One row of DIM numbers for each text, and whether it has a letter."""
+        out, lettered = np.zeros((len(texts), DIM), dtype=np.float32), np.zeros(len(texts), dtype=bool)
         at = 0
         while at < len(texts):
-            begin, codes, size = at, [], 0
-            while at < len(texts) and (not codes or size < BATCH_SYMBOLS):
-                codes.append(self.grams(texts[at]))
-                size += len(codes[-1])
+            begin, many, size = at, [], 0
+            while at < len(texts) and (not many or size < BATCH_SYMBOLS):
+                many.append(self.symbols(texts[at]))
+                size += len(many[-1])
+                lettered[at] = bool(many[-1].any())
                 at += 1
-            if not size:
-                continue
+            met = np.zeros(POINTS, dtype=bool)
+            met[np.concatenate(many)] = True
+            self.meet(np.flatnonzero(met))
+            codes = [self.grams(s) for s in many]
             seen, column = np.unique(np.concatenate(codes), return_inverse=True)
             owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
             counts = np.bincount(owner * len(seen) + column, minlength=len(codes) * len(seen)).reshape(len(codes), len(seen))
             rest, vectors = seen.copy(), np.ones((len(seen), DIM), dtype=np.int8)
-            for place in reversed(range(GRAM)):
-                vectors *= self.rolled[place][rest % SYMBOLS]
-                rest //= SYMBOLS
+            for k in reversed(range(GRAM)):
+                vectors *= self.rolled[k][rest % self.n]
+                rest //= self.n
             out[begin:at] = counts.astype(np.float32) @ vectors.astype(np.float32)
-        return out
+        return out, lettered
 
 
 _encoder: list[Encoder] = []
@@ -124,7 +124,7 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", train_
         sums: dict[str, np.ndarray] = {}
         for pdf in batches:
             for name, part in pdf.groupby("lang"):
-                v = encoder().bundle(part["text"].tolist())
+                v, _ = encoder().bundle(part["text"].tolist())
                 norm = np.linalg.norm(v, axis=1, keepdims=True)
                 v = (v / np.maximum(norm, 1e-9)).sum(axis=0)
                 sums[name] = sums.get(name, 0) + v
@@ -153,9 +153,8 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFram
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t or "" for t in pdf[text].where(pdf[text].notna(), "")]
-            v = encoder().bundle(texts)
+            v, lettered = encoder().bundle(texts)
             norm = np.linalg.norm(v, axis=1)
-            lettered = np.array([encoder().grams(t).any() for t in texts]) if len(texts) else np.zeros(0, bool)
             if len(profiles.langs):
                 cosine = (v @ profiles.vectors.T) / np.maximum(norm, 1e-9)[:, None]
                 best = cosine.argmax(axis=1)
