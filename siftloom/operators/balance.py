@@ -7,20 +7,29 @@ from pyspark.sql import functions as F
 
 
 def glob_to_regex(pattern: Column) -> Column:
-    """A whole-path regular expression of a glob with * and ?."""
-    quoted = F.regexp_replace(pattern, r"([.^$+{}()|\[\]\\])", r"\\$1")
-    return F.concat(F.lit("^"), F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit("$"))
+    """A whole-path regular expression of a glob: * is any text, ? any character, [abc] and [a-c] one of these, [!abc] none of them. An open bracket without an end is itself."""
+    parts = F.regexp_extract_all(pattern, F.lit(r"\[!?\]?[^\]]*\]|[\s\S]"), F.lit(0))
+
+    def one(x: Column) -> Column:
+        inside = F.regexp_replace(F.regexp_replace(F.substr(x, F.lit(2), F.length(x) - 2), r"([\\\[\]^&])", r"\\$1"), "^!", "^")
+        return F.when(x == "*", ".*").when(x == "?", ".").when(F.length(x) > 1, F.concat(F.lit("["), inside, F.lit("]"))).otherwise(F.regexp_replace(x, r"([^A-Za-z0-9_\s/-])", r"\\$1"))
+
+    return F.concat(F.lit("(?s)^"), F.array_join(F.transform(parts, one), ""), F.lit("$"))
 
 
 def folder_weights(nodes: DataFrame, weights: DataFrame) -> DataFrame:
     """(path, weight) of nodes (path): the weight of an equal base name, else of the first pattern in order that fits the path, else 1.
 
-    ``weights`` (ord, pattern, weight) is a small rule file, so every node meets every rule.
+    ``weights`` (ord, pattern, weight) is a rule file. Names are joined by equality; only rules with a wildcard meet every node, and whether
+    they are sent to all tasks goes by their size.
     """
-    name = F.substring_index("path", "/", -1)
-    rules = F.broadcast(weights.withColumn("regex", glob_to_regex(F.col("pattern"))))
-    met = nodes.select("path").join(rules, (name == F.col("pattern")) | F.expr("path rlike regex"))
-    best = met.groupBy("path").agg(F.min_by("weight", F.struct((name != F.col("pattern")).cast("int"), "ord")).alias("weight"))
+    rules = weights.select("ord", "pattern", "weight")
+    # a pattern without a wildcard fits a name, before all others, or the path that it is
+    keys = F.array(F.struct(F.lit(0).alias("kind"), F.substring_index("path", "/", -1).alias("pattern")), F.struct(F.lit(1).alias("kind"), F.col("path").alias("pattern")))
+    equal = nodes.select("path", F.inline(keys)).join(rules, "pattern").select("path", "kind", "ord", "weight")
+    wild = rules.where(F.col("pattern").rlike(r"[*?\[]")).select("ord", "weight", glob_to_regex(F.col("pattern")).alias("regex"))
+    met = nodes.select("path").join(wild, F.expr("path rlike regex")).select("path", F.lit(1).alias("kind"), "ord", "weight")
+    best = equal.unionByName(met).groupBy("path").agg(F.min_by("weight", F.struct("kind", "ord")).alias("weight"))
     return nodes.select("path").join(best, "path", "left").select("path", F.coalesce("weight", F.lit(1.0)).alias("weight"))
 
 

@@ -23,12 +23,19 @@ def min_detections(detections: DataFrame, least: int, score: float, item: str =
     return detections.where(F.col("score") >= score).groupBy(item).agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def face_summary(detections: DataFrame, items: DataFrame, score: float, ratio: float, height: Column) -> DataFrame:
-    """(item, n_faces, fh_ratio) of every item: faces of enough score and no edge over ``ratio`` times the other; the tallest over ``height``."""
+def face_summary(detections: DataFrame, items: DataFrame, score: float, ratio: float, height: Column, width: Column | None = None) -> DataFrame:
+    """(item, n_faces, fh_ratio) of every item: faces of enough score and no edge over ``ratio`` times the other; the tallest over ``height``.
+
+    With ``width`` also ``facepos``: left, top, right and bottom of each such face in parts of the image, in order of ``det``, then of the edges."""
     w, h = F.col("r") - F.col("l"), F.col("b") - F.col("t")
     good = detections.where((F.col("score") >= score) & (w <= ratio * h) & (h <= ratio * w))
-    summed = good.groupBy("item").agg(F.count("*").alias("n_faces"), F.max(h / height).alias("fh_ratio"))
-    return items.join(summed, "item", "left").select("item", F.coalesce("n_faces", F.lit(0)).alias("n_faces"), F.coalesce("fh_ratio", F.lit(0.0)).alias("fh_ratio"))
+    made = [F.count("*").alias("n_faces"), F.max(h / height).alias("fh_ratio")]
+    if width is not None:
+        place = F.array(F.col("l") / width, F.col("t") / height, F.col("r") / width, F.col("b") / height)
+        made.append(F.transform(F.array_sort(F.collect_list(F.struct("det", "l", "t", "r", "b", place.alias("p")))), lambda x: x["p"]).alias("facepos"))
+    both = items.join(good.groupBy("item").agg(*made), "item", "left")
+    columns = ["item", F.coalesce("n_faces", F.lit(0)).alias("n_faces"), F.coalesce("fh_ratio", F.lit(0.0)).alias("fh_ratio")]
+    return both.select(*columns, *([] if width is None else [F.coalesce("facepos", F.array().cast("array<array<double>>")).alias("facepos")]))
 
 
 def count_between(items: DataFrame, n: Column, low: int | None, high: int | None) -> DataFrame:
@@ -61,9 +68,10 @@ def portion(frames: DataFrame, folder: str, number: str, which: str) -> DataFram
     return joined.where(ok).drop("_third")
 
 
-def first_face(detections: DataFrame, score: float, ratio: float) -> DataFrame:
-    """The first detection of each item that has over this score and no edge over ``ratio`` times the other."""
+def first_face(detections: DataFrame, score: float, ratio: float, items: DataFrame | None = None) -> DataFrame:
+    """The first detection of each item that has over this score and no edge over ``ratio`` times the other. Of ``items`` (item), if given, those without one stay, with nulls."""
     w, h = F.col("r") - F.col("l"), F.col("b") - F.col("t")
     good = detections.where((F.col("score") > score) & (F.greatest(w, h) <= ratio * F.least(w, h)))
     place = F.row_number().over(Window.partitionBy("item").orderBy("det"))
-    return good.withColumn("_place", place).where("_place = 1").drop("_place")
+    first = good.withColumn("_place", place).where("_place = 1").drop("_place")
+    return first if items is None else items.select("item").join(first, "item", "left")

@@ -307,3 +307,28 @@ def extra_embeddings(spark, sf_dir):
     c = N.parse_character(F.concat_ws("|", "source", part, worn, F.lit("hat+_cap")))
     rows = table(spark, sf_dir, "documents").select("doc_id", c.alias("c"))
     return rows.select("doc_id", F.array_join(N.extra_embeddings(F.col("c")), ";").alias("embeddings"), N.caption_character(F.col("c")).alias("caption"))
+
+
+@query("face_positions", f"""with {V.BOXES}, g as (select item, det, l, t, r, b from box where score >= 0.3 and r - l <= 2.0 * (b - t) and b - t <= 2.0 * (r - l)),
+p as (select item, string_agg((l * 1000 // 1000) || ':' || t || ':' || r || ':' || b, ' ' order by det, l, t, r, b) as places from g group by item)
+select distinct box.item, coalesce(places, '') as places from box left join p using (item)""")
+def face_positions(spark, sf_dir):
+    """Places of each image's good faces, as parts of it, told in pixels."""
+    from siftloom.operators.filters import face_summary as summary
+
+    boxes = V.boxes(spark, sf_dir)
+    faces = summary(boxes, boxes.select("item").distinct(), 0.3, 2.0, F.lit(800), F.lit(1000))
+    pixels = F.transform("facepos", lambda f: F.concat_ws(":", *(F.rint(f[i] * (800 if i % 2 else 1000)).cast("int").cast("string") for i in range(4))))
+    return faces.select("item", F.array_join(pixels, " ").alias("places"))
+
+
+@query("balance_globs", """with f as (select distinct r_name as node from region union select r_name || '/' || n_name from nation join region on n_regionkey = r_regionkey)
+select node as path, case when node = 'ASIA' then 9 when node like '%/CHINA' then 5 when regexp_matches(node, '^A[^/]*/[A-C][^/]*$') then 2 when regexp_matches(node, '^[^E].*/.[^AEIOU][^/]*$') then 3 else 1 end::double as weight from f""")
+def balance_globs(spark, sf_dir):
+    """Weights of region and nation folders by name and by globs with brackets."""
+    from siftloom.operators.balance import folder_weights
+
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    nodes = r.select(F.col("r_name").alias("path")).union(n.join(r, n.n_regionkey == r.r_regionkey).select(F.concat_ws("/", "r_name", "n_name")))
+    rules = spark.createDataFrame([(0, "A*/[A-C]*", 2.0), (1, "[!E]*/?[!AEIOU]*", 3.0), (2, "CHINA", 5.0), (3, "ASIA", 9.0), (4, "[bad", 7.0)], "ord int, pattern string, weight double")
+    return folder_weights(nodes.distinct(), rules)

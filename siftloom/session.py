@@ -33,7 +33,10 @@ def _folder(spark: SparkSession, path: str) -> tuple:
 
 @contextmanager
 def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go with the query that made them: what is written is read from its table from then on."""
+    """Shuffle files go with the query that made them: what is written is read from its table from then on.
+
+    It is a setting of the session: a query that another thread of the session starts meanwhile may have it too, and then frees its shuffle files at its end.
+    """
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, "false")
     spark.conf.set(name, "true")

@@ -41,6 +41,10 @@ def group_by_base(files: DataFrame, base: Column, name: Column) -> DataFrame:
     return files.groupBy(base.alias("base")).agg(F.array_sort(F.collect_list(name)).alias("files"))
 
 
-def output_metadata(items: DataFrame, kind: str, extension: str) -> DataFrame:
-    """Items as they are written: the type is the image type, the file has the new extension."""
-    return items.withColumn("filename", F.regexp_replace("filename", r"\.[^.]*$", "." + extension)).withColumn("type", F.lit(kind))
+def output_metadata(items: DataFrame, kind: str, extension: str, folder: Column | None = None, size: Column | None = None) -> DataFrame:
+    """Items as they are written: the type is the image type, the file has the new extension. With ``folder`` current_path is the file there;
+    ``size`` is the image's new size. ``path`` stays: it is where the image came from."""
+    out = items.withColumn("filename", F.regexp_replace("filename", r"\.[^.]*$", "." + extension)).withColumn("type", F.lit(kind))
+    if folder is not None:
+        out = out.withColumn("current_path", F.concat_ws("/", folder, "filename"))
+    return out if size is None else out.withColumn("image_size", size)

@@ -126,3 +126,34 @@ def test_quota_on_a_stream_with_a_restart(spark, tmp_path):
         assert sorted(passed) == [1, 2, 4, 5, 7, 9, 10]
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_globs(spark):
+    import fnmatch
+
+    from siftloom.operators.balance import folder_weights, glob_to_regex
+
+    r = random.Random(6)
+    globs = ["*", "?a", "[ab]*", "[!ab]?", "[]x]", "[a-c]/*", "a.b", "x+(y)", "[", "a[", "[^a]", "[a^]", "[&&a]", "a\\\\b", "*.[jp]*", "{a}", "^a$"]
+    names = ["".join(r.choice("abcx]^&[/.+(){}$j\\\\") for _ in range(r.randrange(1, 5))) for _ in range(150)] + ["a.b", "x+(y)", "[", "a[", "{a}", "^a$", "ab"]
+    df = spark.createDataFrame([(g, n) for g in globs for n in names], "g string, n string")
+    for x in df.withColumn("r", glob_to_regex(F.col("g"))).select("g", "n", F.expr("n rlike r").alias("hit")).collect():
+        assert x.hit == fnmatch.fnmatchcase(x.n, x.g), (x.g, x.n)
+    nodes = spark.createDataFrame([("p/a",), ("p/b",), ("q",)], "path string")
+    rules = spark.createDataFrame([(0, "p/*", 2.0), (1, "a", 3.0), (2, "q", 4.0)], "ord int, pattern string, weight double")
+    assert {x.path: x.weight for x in folder_weights(nodes, rules).collect()} == {"p/a": 3.0, "p/b": 2.0, "q": 4.0}
+    assert {x.weight for x in folder_weights(nodes, rules.limit(0)).collect()} == {1.0}
+
+
+def test_faces_and_output(spark):
+    from siftloom.operators import filters as R
+    from siftloom.sources.posts import output_metadata
+
+    d = spark.createDataFrame([(1, 0, 10, 20, 30, 40, 0.9), (1, 1, 0, 0, 10, 90, 0.9), (2, 0, 0, 0, 5, 5, 0.1)], "item int, det int, l int, t int, r int, b int, score double")
+    items = spark.createDataFrame([(1,), (2,), (3,)], "item int")
+    got = {r["item"]: (r.n_faces, r.facepos) for r in R.face_summary(d, items, 0.5, 2.0, F.lit(100), F.lit(200)).collect()}
+    assert got == {1: (1, [[0.05, 0.2, 0.15, 0.4]]), 2: (0, []), 3: (0, [])}
+    assert {r["item"]: r.det for r in R.first_face(d, 0.5, 2.0, items).collect()} == {1: 0, 2: None, 3: None} and R.first_face(d, 0.5, 2.0).count() == 1
+    rows = spark.createDataFrame([("/src/a.jpg", "a.jpg")], "path string, filename string")
+    out = output_metadata(rows, "t", "webp", F.lit("/dst"), F.struct(F.lit(1).alias("w"), F.lit(2).alias("h"))).first()
+    assert (out.path, out.filename, out.current_path, out.type, out.image_size.h) == ("/src/a.jpg", "a.webp", "/dst/a.webp", "t", 2)
