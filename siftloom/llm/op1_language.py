@@ -173,6 +173,8 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFram
         yield from judge(s.to_frame(text) for s in batches)
 
     (own,) = private(docs, "_judged")
+    # a filter on the result would otherwise be given a run of the function of its own
+    judged = judged.asNondeterministic()
     return docs.select(*keep, judged(F.col(text)).alias(own)).select(*keep, *(F.col(f"{own}.{c}").alias(c) for c in made))
 
 
