@@ -201,6 +201,19 @@ def test_line_join(spark, odd, empty):
     assert op6_line_join.matched_lines(empty).count() == 0
 
 
+def test_lines_of_words_with_equal_hash_beginnings(spark, monkeypatch):
+    """Words that the candidates' hashes mix up, and words that nearly all lines have, change no result."""
+    monkeypatch.setattr(op6_line_join, "WORD_BITS", 3)
+    monkeypatch.setattr(op6_line_join, "HOT", 5)
+    pick = np.random.default_rng(3)
+    base = [[f"w{x}" for x in pick.choice(30, 9, replace=False)] for _ in range(12)]
+    lines = [" ".join(b[:k] + [f"x{j}"] + b[k + 1 :]) for j, b in enumerate(base * 4) for k in (j % 9,)]
+    want = {i for i, x in enumerate(lines) if any(len(words(x) & words(y)) >= 0.8 * len(words(x) | words(y)) - 1e-9 for y in lines[:i])}
+    got = op6_line_join.matched_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert 0 < len(want) < len(lines)
+    assert {r.doc_id for r in got if r.removed} == want
+
+
 def test_short_lines_are_removed(spark):
     rows = [(1, "Les.\nand ornd.\n\nLes."), (2, "les.\nornd. And\n\nmore"), (3, "\n \t"), (4, "les. more\nmore\n")]
     got = op6_line_join.matched_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
