@@ -16,6 +16,8 @@ from siftloom.session import materialize
 BLOCK = 1024
 #: Rounds of removal after which what is still open is decided component by component.
 ROUNDS = 12
+#: Edges, at most, of a component that one task walks.
+WALKED = 100_000
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -23,40 +25,46 @@ def _matrix(vectors) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
-def _blocks(vectors: DataFrame, blocks: int, item: str, vec: str, scope: str | None) -> DataFrame:
-    return vectors.select(F.col(item).alias("item"), F.col(vec).alias("vec"), (F.col(scope) if scope else F.lit(0)).alias("scope"), F.pmod(F.xxhash64(item), F.lit(blocks)).alias("block"))
-
-
 def similar_pairs(vectors: DataFrame, threshold: float, item: str = "item", vec: str = "vec", scope: str | None = None) -> DataFrame:
-    """(src, dst, cos) with src < dst and cosine over ``threshold``, within equal ``scope``.
+    """(src, dst, cos) with src < dst and cosine over ``threshold``, within equal ``scope``; a null scope is one of its own.
 
-    All pairs are compared exactly, a block of vectors against a block: each pair of blocks is one task's
-    matrix product, and only pairs over the threshold leave it. A task holds two blocks of a bounded size.
+    All pairs of a scope are compared exactly, a block of vectors against a block: each pair of blocks is one task's
+    matrix product, and only pairs over the threshold leave it. A scope of more than a block's rows has blocks of its own;
+    smaller ones share blocks, and are told apart there. So rows of different scopes are never sent to each other's blocks.
     Rows with a null vector have no pairs; repeated items have a pair for each of their rows.
     """
-    vectors = vectors.where(F.col(vec).isNotNull())
-    n = vectors.count()
-    blocks = max(1, -(-n // BLOCK))
-    rows = _blocks(vectors, blocks, item, vec, scope)
-    # row block i meets column block j for i <= j: each row is sent to as many tasks as there are blocks
-    left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(blocks - 1)))).select("item", "vec", "scope", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"))
-    right = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block")))).select("item", "vec", "scope", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"))
+    rows = vectors.where(F.col(vec).isNotNull()).select(F.col(item).alias("item"), F.col(vec).alias("vec"), (F.col(scope) if scope else F.lit(0)).alias("scope"))
+    n = rows.count()
+    if scope:
+        sizes = rows.groupBy(F.col("scope").alias("of")).agg(F.count("*").alias("rows"))
+        rows = rows.join(sizes, F.col("scope").eqNullSafe(F.col("of"))).drop("of")
+    else:
+        rows = rows.withColumn("rows", F.lit(n))
+    large = F.col("rows") > BLOCK
+    blocks = F.when(large, F.ceil(F.col("rows") / BLOCK)).otherwise(1).cast("long")
+    shared = F.when(large, F.lit(-1)).otherwise(F.pmod(F.xxhash64("scope"), F.lit(max(1, -(-n // BLOCK)))))
+    rows = rows.select("item", "vec", "scope", F.when(large, F.col("scope")).alias("own"), shared.alias("shared"), blocks.alias("blocks"), F.pmod(F.xxhash64("item"), blocks).alias("block"))
+    # row block i meets column block j of its scope for i <= j: each row is sent to as many tasks as its scope has blocks
+    same = ["item", "vec", "scope", "own", "shared"]
+    left = rows.select(*same, F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    right = rows.select(*same, F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"))
     kind = vectors.schema[item].dataType.simpleString()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(scope=pd.factorize(pdf["scope"])[0])
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if not len(a) or not len(b):
             return pd.DataFrame({"src": [], "dst": [], "cos": []})
         cos = _matrix(a["vec"]) @ _matrix(b["vec"]).T
         x, y = np.nonzero(cos > threshold)
         src, dst = a["item"].to_numpy()[x], b["item"].to_numpy()[y]
-        keep = (src < dst) if a["i"].iloc[0] == a["j"].iloc[0] else np.ones(len(src), bool)
-        if scope:
-            keep = keep & (a["scope"].to_numpy()[x] == b["scope"].to_numpy()[y])
+        keep = a["scope"].to_numpy()[x] == b["scope"].to_numpy()[y]
+        if a["i"].iloc[0] == a["j"].iloc[0]:
+            keep = keep & (src < dst)
         low, high = np.minimum(src, dst), np.maximum(src, dst)
         return pd.DataFrame({"src": low[keep], "dst": high[keep], "cos": cos[x, y][keep]})
 
-    return left.unionByName(right).groupBy("i", "j").applyInPandas(compare, f"src {kind}, dst {kind}, cos double")
+    return left.unionByName(right).groupBy("shared", "own", "i", "j").applyInPandas(compare, f"src {kind}, dst {kind}, cos double")
 
 
 def distances_to_groups(vectors: DataFrame, labels: DataFrame, same: float, item: str = "item", vec: str = "vec", label: str = "label") -> DataFrame:
@@ -149,34 +157,45 @@ def keep_first(items: DataFrame, edges: DataFrame, item: str = "item", rounds: i
     """``item`` of rows that stay if, in order, each row still there removes all later rows that it has an edge to.
 
     A row stays once all its smaller neighbours are gone, and goes once a smaller one stays. Rounds of
-    both decide most rows; long chains that are then open are walked in order, each component by itself.
+    both decide most rows. Of what is then open, components of up to ``WALKED`` edges are walked in order, each by itself;
+    larger ones go on in rounds until all is decided, so that no task has a component of any size.
     """
     edges = materialize(edges.select("src", "dst"), "edges")
-    state = items.select(F.col(item).alias("item"), F.lit(0).alias("state"))  # 0 open, 1 stays, 2 goes
-    for _ in range(rounds):
-        seen = edges.join(state.select(F.col("item").alias("src"), F.col("state").alias("s")), "src").groupBy("dst").agg(
-            F.max((F.col("s") == 1).cast("int")).alias("lost"), F.max((F.col("s") == 0).cast("int")).alias("waits")
-        )
-        new = F.when(F.col("state") != 0, F.col("state")).when(F.col("lost") == 1, 2).when(F.coalesce("waits", F.lit(0)) == 1, 0).otherwise(1)
-        state = materialize(state.join(seen, state["item"] == seen["dst"], "left").select("item", new.alias("state")), "state")
-        if state.where("state = 0").isEmpty():
-            return state.where("state = 1").select(F.col("item").alias(item))
-    lost = edges.join(state.where("state = 1").select(F.col("item").alias("src")), "src").select(F.col("dst").alias("item")).distinct()
-    open_rows = materialize(state.where("state = 0").select("item").join(lost, "item", "left_anti"), "open")
-    inner = edges.join(open_rows.withColumnRenamed("item", "src"), "src").join(open_rows.withColumnRenamed("item", "dst"), "dst").select("src", "dst")
-    parts = connected_components(inner)
     kind = items.schema[item].dataType.simpleString()
+    state = items.select(F.col(item).alias("item"), F.lit(0).alias("state"))  # 0 open, 1 stays, 2 goes
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         smaller: dict = {}
         for s, d in zip(pdf["src"], pdf["dst"], strict=True):
             smaller.setdefault(d, []).append(s)
         kept: set = set()
-        for x in sorted(set(pdf["src"]) | set(pdf["dst"])):
+        every = sorted(set(pdf["src"]) | set(pdf["dst"]))
+        for x in every:
             if not any(s in kept for s in smaller.get(x, ())):
                 kept.add(x)
-        return pd.DataFrame({"item": sorted(kept)})
-
-    alone = open_rows.join(parts.select(F.col("id").alias("item")), "item", "left_anti")
-    walked = inner.join(parts, inner.src == parts.id).select("component", "src", "dst").groupBy("component").applyInPandas(walk, f"item {kind}")
-    return state.where("state = 1").select("item").union(walked).union(alone).withColumnRenamed("item", item)
+        return pd.DataFrame({"item": every, "found": [1 if x in kept else 2 for x in every]})
+
+    while True:
+        for _ in range(rounds):
+            seen = edges.join(state.select(F.col("item").alias("src"), F.col("state").alias("s")), "src").groupBy("dst").agg(
+                F.max((F.col("s") == 1).cast("int")).alias("lost"), F.max((F.col("s") == 0).cast("int")).alias("waits")
+            )
+            new = F.when(F.col("state") != 0, F.col("state")).when(F.col("lost") == 1, 2).when(F.coalesce("waits", F.lit(0)) == 1, 0).otherwise(1)
+            state = materialize(state.join(seen, state["item"] == seen["dst"], "left").select("item", new.alias("state")), "state")
+            if state.where("state = 0").isEmpty():
+                return state.where("state = 1").select(F.col("item").alias(item))
+        rounds = max(rounds, 1)
+        lost = edges.join(state.where("state = 1").select(F.col("item").alias("src")), "src").select(F.col("dst").alias("item")).distinct()
+        open_rows = materialize(state.where("state = 0").select("item").join(lost, "item", "left_anti"), "open")
+        inner = materialize(edges.join(open_rows.withColumnRenamed("item", "src"), "src").join(open_rows.withColumnRenamed("item", "dst"), "dst").select("src", "dst"), "inner")
+        parts = connected_components(inner)
+        named = inner.join(parts, inner.src == parts.id).select("component", "src", "dst")
+        small = named.groupBy("component").count().where(F.col("count") <= WALKED).select("component")
+        walked = named.join(small, "component").groupBy("component").applyInPandas(walk, f"item {kind}, found int")
+        alone = open_rows.join(parts.select(F.col("id").alias("item")), "item", "left_anti").select("item", F.lit(1).alias("found"))
+        found = walked.unionByName(alone).unionByName(lost.select("item", F.lit(2).alias("found"))).groupBy("item").agg(F.max("found").alias("found"))
+        state = materialize(state.join(found, "item", "left").select("item", F.when(F.col("state") == 0, F.coalesce("found", F.lit(0))).otherwise(F.col("state")).alias("state")), "state")
+        # between open rows only; what they have lost is decided
+        edges = inner
+        if state.where("state = 0").isEmpty():
+            return state.where("state = 1").select(F.col("item").alias(item))

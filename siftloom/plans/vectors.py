@@ -58,7 +58,11 @@ def near_dup_edges(spark, sf_dir):
     return S.similar_pairs(vectors(spark, sf_dir), NEAR).select("src", "dst", F.round("cos", 6).alias("cos"))
 
 
-@query("near_dup_keep")
+@query("near_dup_keep", f"""with recursive {_E}, nb as (select dst as item, list(src) as before from edge group by dst),
+o as materialized (select item, before, row_number() over (order by item) as k from vec left join nb using (item)),
+w as (select 0::bigint as k, []::bigint[] as kept union all
+    select o.k, case when list_has_any(coalesce(before, []), kept) then kept else list_append(kept, o.item) end from w join o on o.k = w.k + 1)
+select unnest(kept) as item from w where k = (select count(*) from vec)""")
 def near_dup_keep(spark, sf_dir):
     v = vectors(spark, sf_dir)
     return S.keep_first(v.select("item"), S.similar_pairs(v, REACH))

@@ -39,8 +39,10 @@ def test_fair_share(sizes, n, want):
     assert list(S.fair_share_quotas(dict(enumerate(sizes)), n).values()) == want
 
 
-@pytest.mark.parametrize("rounds", [1, 2, 12])
-def test_keep_first(spark, rounds):
+@pytest.mark.parametrize(("rounds", "walked"), [(1, 100), (2, 0), (0, 12), (12, 100)])
+def test_keep_first(spark, monkeypatch, rounds, walked):
+    """Whatever is open after the rounds is walked in small components, or goes on in rounds in those too large for that."""
+    monkeypatch.setattr(M, "WALKED", walked)
     random.seed(5)
     edges = sorted({tuple(sorted(random.sample(range(40), 2))) for _ in range(60)})
     kept = []
@@ -133,3 +135,21 @@ def test_noise_distances(spark):
                 want[i, to] = (pytest.approx(sum(d) / len(d)), sum(x <= 0.9 for x in d))
     assert got == want
     assert M.similar_pairs(v, 2.0).count() == 0
+
+
+def test_pairs_within_scope(spark, monkeypatch):
+    """Large scopes have blocks of their own, small ones and null share blocks; no pair is lost and none crosses scopes."""
+    monkeypatch.setattr(M, "BLOCK", 8)
+    random.seed(11)
+    scopes = ["big"] * 30 + [None] * 12 + ["a"] * 5 + ["b"] * 3 + [f"s{i}" for i in range(10)]
+    rows = [(i, [random.random() - 0.5 for _ in range(3)], s) for i, s in enumerate(scopes)] + [(99, None, "big")]
+    v = spark.createDataFrame(rows, "item long, vec array<double>, scope string")
+
+    def cos(a, b):
+        return sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+
+    pairs = [(a, b) for a in rows[:-1] for b in rows[:-1] if a[0] < b[0] and cos(a[1], b[1]) > 0.5]
+    got = sorted((r.src, r.dst) for r in M.similar_pairs(v, 0.5, scope="scope").collect())
+    assert got == sorted((a[0], b[0]) for a, b in pairs if a[2] == b[2])
+    assert sorted((r.src, r.dst) for r in M.similar_pairs(v, 0.5).collect()) == sorted((a[0], b[0]) for a, b in pairs)
+    assert M.similar_pairs(v.where("false"), 0.5, scope="scope").count() == 0
