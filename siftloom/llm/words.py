@@ -92,10 +92,11 @@ class FastTokenizer:
 
     def bare(self, word: str, space: str) -> bytes:
         stem = word.rstrip(_MARKS)
-        if not _PLAIN(stem):
+        ascii_letters = stem.isascii() and stem.isalpha()
+        if not ascii_letters and not _PLAIN(stem):
             return self.whole(" " + word if space else word)
         ids = stem if self.keeps_space else stem.lower()
-        if not ids.isascii():
+        if not ascii_letters and not ids.isascii():
             ids = ids.encode().decode("latin-1").translate(self.letters)
         ids = self.parts[space + ids]
         return ids if len(stem) == len(word) else ids + self.parts[word[len(stem) :]]
@@ -104,9 +105,13 @@ class FastTokenizer:
         """The text's words; None if it must be encoded whole."""
         if _SPECIAL in text or _SEPARATORS.search(text):
             return None
-        words = text.split()
         if not self.keeps_space:
-            return words
+            return text.split()
+        flat = text.replace("\n", " ")
+        # without white space but single spaces and line ends, which printable text has not, one cut is enough
+        if flat.isprintable() and "  " not in flat and flat[0] != " " and flat[-1] != " ":
+            return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        words = text.split()
         # single spaces and line ends alone part words; if anything else does, or there are two in a row, the lists differ
         if text.replace("\n", " ").split(" ") != words:
             return None
