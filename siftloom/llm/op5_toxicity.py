@@ -6,6 +6,10 @@ weight, so the cosine over rare terms and a sum over the query's common ones bou
 common terms are only summed up where the bound reaches the nearest examples. The nearest examples vote
 with their cosines, and the votes are calibrated on the examples themselves, each judged without itself
 and its copies.
+
+Texts are searched some at a time, so that a block's common terms are summed up for all texts that need the
+block by one product of matrices. Those sums are in single precision and only choose candidates; the cosines
+of candidates are summed up anew, text by text, so they do not depend on the texts beside it.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +33,11 @@ from siftloom.session import private, table
 #: Expected number of example texts of each class; examples in a block; neighbours that vote.
 EXAMPLES, BLOCK, NEIGHBOURS = 2500, 64, 15
 #: Terms of more than one in so many examples are common; blocks that are searched first.
-COMMON, FIRST_BLOCKS = 5, 8
+COMMON, FIRST_BLOCKS = 10, 8
+#: Texts whose terms are looked up at a time, and that are searched at a time.
+READ, AT_ONCE = 2048, 64
 #: Lengths of word starts that are terms beside whole words.
 STARTS = (4, 5, 6)
-#: Words that a worker remembers.
-REMEMBERED = 200_000
 THRESHOLD, SEED = 0.3, 7
 _WORD = re.compile(r"\w+")
 
@@ -50,26 +56,43 @@ def text_terms(text: str) -> Counter:
     return out
 
 
-class Vocabulary(dict):
-    """word -> places of its terms in the index, remembered for words met."""
+class Vocabulary:
+    """Places of terms in the index, looked up for many words at once."""
 
     def __init__(self, place: dict[str, int]) -> None:
-        super().__init__()
-        self.place = place
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > REMEMBERED:
-            self.clear()
-        out = self[word] = tuple(self.place[t] for t in word_terms(word) if t in self.place)
-        return out
+        self.terms, self.place = pa.array(place, pa.large_string()), np.fromiter([*place.values(), -1], dtype=np.int64)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """A row for each word: the places of the word and of its starts, -1 for those that the index has not."""
+        sizes, star, none = pc.utf8_length(words), pa.scalar("*", words.type), pa.scalar("", words.type)
+        starts = [pc.if_else(pc.greater(sizes, n), pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, n), star, none), none) for n in STARTS]
+        # one call, since each builds a table of all the index's terms; no term is empty
+        found = pc.index_in(pa.concat_arrays([words, *starts]), value_set=self.terms)
+        return self.place[pc.fill_null(found, -1).to_numpy()].reshape(1 + len(STARTS), len(words)).T
+
+    def counts_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text's terms in the index the end among all, the places (ascending in a text) and the occurrences. Whole texts are read."""
+        words = [pa.array(_WORD.findall(text.lower()) if text else [], pa.large_string()) for text in texts]
+        text_of = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        coded = pa.concat_arrays([pa.array([], pa.large_string()), *words]).dictionary_encode()
+        places = self.places(coded.dictionary)[coded.indices.to_numpy()]
+        size = len(self.place)
+        keys = (places + size * text_of[:, None])[places >= 0]
+        met, times = np.unique(keys, return_counts=True)
+        return np.searchsorted(met, np.arange(1, len(texts) + 1) * size), met % size, times
 
     def counts(self, text: str) -> dict[int, int]:
         """Occurrences of the index's terms in a whole text."""
-        out: dict[int, int] = defaultdict(int)
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            for t in self[word]:
-                out[t] += n
-        return out
+        _, places, times = self.counts_all([text])
+        return dict(zip(places.tolist(), times.tolist(), strict=True))
+
+
+def unit_vectors(ends: np.ndarray, places: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit TF-IDF weights of some texts' terms, those of each text before its end."""
+    w = (1 + np.log(times)) * idf[places]
+    sizes = np.diff(ends, prepend=0)
+    norms = np.sqrt(np.bincount(np.repeat(np.arange(len(ends)), sizes), w * w, minlength=len(ends)))
+    return w / np.repeat(np.where(norms > 0, norms, 1), sizes)
 
 
 def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,9 +101,7 @@ def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np
     times = np.fromiter(counts.values(), dtype=float, count=len(counts))
     order = np.argsort(places)
     places = places[order]
-    w = (1 + np.log(times[order])) * idf[places]
-    norm = math.sqrt(float(w @ w))
-    return places, w / norm if norm else w
+    return places, unit_vectors(np.array([len(places)]), places, times[order], idf)
 
 
 @dataclass
@@ -116,13 +137,13 @@ class Index:
         self.column[self.column == 0] = np.arange((self.column == 0).sum())
         often = self.column[place] >= 0
         blocks = -(-n // BLOCK)
-        self.common = np.zeros((blocks, int(self.column.max(initial=-1)) + 1, BLOCK))
+        self.common = np.zeros((blocks, int(self.column.max(initial=-1)) + 1, BLOCK), dtype=np.float32)
         self.common[owner[often] // BLOCK, self.column[place[often]], owner[often] % BLOCK] = weight[often]
         self.most = self.common.max(axis=2)
         #: Posting lists of rare terms: where each begins, examples and weights.
         owner, place, weight = owner[~often], place[~often], weight[~often]
         order = np.argsort(place, kind="stable")
-        self.examples, self.weights = owner[order], weight[order]
+        self.examples, self.weights = owner[order].astype(np.int64), weight[order].astype(np.float64)
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(self.terms)))])
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -130,39 +151,73 @@ class Index:
         that scales all its cosines alike, and neither the nearest examples nor their vote change."""
         return unit_vector(counts, self.idf)
 
-    def nearest(self, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine over 0, and the cosines; ties by place in the index. Exact."""
-        n = len(self.labels)
-        if not len(places) or not n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        column = self.column[places]
-        rare = np.flatnonzero(column < 0)
-        start, end = self.begin[places[rare]], self.begin[places[rare] + 1]
-        sums = np.zeros(len(self.most) * BLOCK)
-        if (end > start).any():
-            slices = [slice(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-            met = np.concatenate([self.examples[x] for x in slices])
-            sums = np.bincount(met, np.concatenate([self.weights[x] for x in slices]) * np.repeat(weights[rare], end - start), minlength=len(sums))
-        sums = sums.reshape(-1, BLOCK)
-        columns, w = column[column >= 0], weights[column >= 0]
-        bound = sums.max(axis=1) + self.most[:, columns] @ w
-        order = np.argsort(-bound, kind="stable")
-
-        def search(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            cosines = sums[blocks] + np.matmul(w, self.common[blocks[:, None], columns]) if len(columns) else sums[blocks]
-            return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), cosines.ravel()
+    def rare_sums(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosines' share of these rare terms, for each example."""
+        start = self.begin[places]
+        held = self.begin[places + 1] - start
+        at = np.repeat(start - np.cumsum(held) + held, held) + np.arange(held.sum())
+        return np.bincount(self.examples[at], self.weights[at] * np.repeat(weights, held), minlength=len(self.most) * BLOCK)
+
+    def nearest_all(self, ends: np.ndarray, places: np.ndarray, weights: np.ndarray, k: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of some texts the k[i] examples of largest cosine over 0, and the cosines; ties by place in the index. Exact.
+
+        A text is given by its terms' places and unit weights, which lie before its end among all.
+        """
+        n, m = len(self.labels), len(ends)
+        if not n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * m
+        blocks, n_columns = self.most.shape
+        # no sum of n_columns products in single precision is off by more, weights and rows being of length 1
+        slack = (n_columns + 8) * 2.0**-22
+        column, spans = self.column[places], list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+        often = column >= 0
+        common = np.zeros((m, n_columns), dtype=np.float32)
+        common[np.repeat(np.arange(m), np.diff(ends, prepend=0))[often], column[often]] = weights[often]
+        rare = np.stack([self.rare_sums(places[a:b][~often[a:b]], weights[a:b][~often[a:b]]) for a, b in spans]).reshape(m, blocks, BLOCK)
+        bound = rare.max(axis=2) + common @ self.most.T + slack
+        cosines = np.full((m, blocks, BLOCK), -1.0)
+
+        def search(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                texts = np.flatnonzero(wanted[:, block])
+                # a product for all texts takes less than a copy of most of their rows
+                sums = common @ self.common[block] if 2 * len(texts) > m else common[texts] @ self.common[block]
+                cosines[texts, block] = rare[texts, block] + (sums[texts] if len(sums) > len(texts) else sums)
+
+        def least(row: np.ndarray, k: int) -> float:
+            """What the k-th cosine isn't below."""
+            return float(np.partition(row, len(row) - k)[len(row) - k]) - slack if len(row) >= k else -1.0
 
         # the blocks of highest bounds give the cosine that others must reach
-        found, cosines = search(order[:FIRST_BLOCKS])
-        least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[bound[rest] >= least - 1e-9]
-        if len(rest):
-            more, others = search(rest)
-            found, cosines = np.concatenate([found, more]), np.concatenate([cosines, others])
-        near = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-9))
-        near = near[np.lexsort((found[near], -np.round(cosines[near], 12)))[:k]]
-        return found[near], cosines[near]
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+        wanted = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(wanted, first, True, axis=1)
+        search(wanted)
+        reach = np.array([least(cosines[i, first[i]].ravel(), k[i]) for i in range(m)])
+        search((bound >= reach[:, None]) & ~wanted)
+        out = []
+        for i, (a, b) in enumerate(spans):
+            row = cosines[i].ravel()
+            near = np.flatnonzero((row > 0) & (row >= least(row, k[i]) - slack))
+            held = often[a:b]
+            rows = self.common[(near // BLOCK)[:, None], column[a:b][held], (near % BLOCK)[:, None]]
+            exact = rare[i].ravel()[near] + (rows * weights[a:b][held]).sum(axis=1)
+            best = np.lexsort((near, -np.round(exact, 12)))[: k[i]]
+            out.append((near[best], exact[best]))
+        return out
+
+    def nearest(self, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """nearest_all() for one text."""
+        return self.nearest_all(np.array([len(places)]), places, weights, [k])[0]
+
+    def neighbours(self, texts: list[str], known: Vocabulary, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """nearest() for each of some whole texts."""
+        ends, places, times = known.counts_all(texts)
+        weights = unit_vectors(ends, places, times, self.idf)
+        for i in range(0, len(texts), AT_ONCE):
+            part = ends[i : i + AT_ONCE]
+            low = int(ends[i - 1]) if i else 0
+            yield from self.nearest_all(part - low, places[low : part[-1]], weights[low : part[-1]], [k] * len(part))
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """Share of label 1 in the votes, each of a weight that falls with the distance and that evens out the sample's classes."""
@@ -199,11 +254,10 @@ def document_frequency(docs: DataFrame, terms: list[str], text: str = "text") ->
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, total, n = Vocabulary(place), np.zeros(len(terms), dtype=np.int64), 0
         for pdf in batches:
-            for t in pdf["text"]:
-                n += 1
-                if t:
-                    hit = set().union(*[known[w] for w in set(_WORD.findall(t.lower()))])
-                    total[np.fromiter(hit, dtype=np.int64, count=len(hit))] += 1
+            n += len(pdf)
+            texts = pdf["text"].tolist()
+            for begin in range(0, len(texts), READ):
+                total += np.bincount(known.counts_all(texts[begin : begin + READ])[1], minlength=len(terms))
         met = np.flatnonzero(total)
         yield pd.DataFrame({"place": np.append(met, -1), "n": np.append(total[met], n)})
 
@@ -247,8 +301,12 @@ def _calibrate(index: Index, vectors: list, digests: list[bytes]) -> None:
     """Each example is judged without those of an equal text (digest), itself too. Scores of votes: the weighted share of label 1 among examples of similar votes, made monotone."""
     weight, copies = index.stands_for, Counter(digests)
     votes, alone = [], [0.0, 0.0]
-    for i, (places, w) in enumerate(vectors):
-        found, cosines = index.nearest(places, w, NEIGHBOURS + copies[digests[i]])
+    nearest: list = []
+    for begin in range(0, len(vectors), AT_ONCE):
+        part = vectors[begin : begin + AT_ONCE]
+        ends, (places, w) = np.cumsum([len(p) for p, _ in part]), (np.concatenate(x) for x in zip(*part, strict=True))
+        nearest += index.nearest_all(ends, places, w, [NEIGHBOURS + copies[d] for d in digests[begin : begin + AT_ONCE]])
+    for i, (found, cosines) in enumerate(nearest):
         keep = [j for j, f in enumerate(found) if digests[f] != digests[i]][:NEIGHBOURS]
         label = index.labels[i]
         if keep:
@@ -286,16 +344,15 @@ def score_texts(docs: DataFrame, index: Index, text: str = "text", threshold: fl
             kept["v"] = Vocabulary({t: i for i, t in enumerate(ix.terms)})
         known = kept["v"]
         for texts in batches:
-            scores, evidence, seen = [], [], {}
-            for t in texts:
-                if t not in seen:
-                    counts = known.counts(t) if t else {}
-                    found, cosines = ix.nearest(*ix.vector(counts), NEIGHBOURS) if counts else (np.zeros(0, np.int64), None)
+            seen: dict = {}
+            different = list(dict.fromkeys(t or "" for t in texts.where(texts.notna(), "")))
+            for begin in range(0, len(different), READ):
+                part = different[begin : begin + READ]
+                for t, (found, cosines) in zip(part, ix.neighbours(part, known, NEIGHBOURS), strict=True):
                     score = float(np.interp(ix.vote(found, cosines), *ix.knots)) if len(found) else ix.lonely
                     seen[t] = (min(1.0, max(0.0, score)), ix.names[found].tolist())
-                scores.append(seen[t][0])
-                evidence.append(seen[t][1])
-            yield pd.DataFrame({"score": scores, "evidence": evidence})
+            judged = [seen[t or ""] for t in texts.where(texts.notna(), "")]
+            yield pd.DataFrame({"score": [s for s, _ in judged], "evidence": [e for _, e in judged]})
 
     (own,) = private(docs, "_judged")
     scored = docs.select(*keep, judge(F.col(text)).alias(own))
