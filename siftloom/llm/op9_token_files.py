@@ -25,6 +25,8 @@ from siftloom.session import materialize, scratch_root, table
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 #: Longest code in bits; ids between two checkpoints; ids after which a block ends.
 LIMIT, LANE, BLOCK = 16, 256, 1 << 16
+#: Words that a worker remembers.
+REMEMBERED = 500_000
 #: Stands for a null key, before all others. Parts of the order of keys for each shuffle partition.
 NULL_KEY, PARTS = -(1 << 63), 4
 
@@ -115,7 +117,7 @@ def token_ids(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
     @F.pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([x + end for x in fast_tokenizer(path, "<u2").encode([t or "" for t in texts.where(texts.notna(), "")])])
+            yield pd.Series([x + end for x in fast_tokenizer(path, "<u2", REMEMBERED).encode([t or "" for t in texts.where(texts.notna(), "")])])
 
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)).alias(key), ids(F.col(text)).alias("ids")).select(key, (F.length("ids") / 2).cast("long").alias("n_tokens"), "ids")
 

@@ -32,12 +32,12 @@ def _byte_letters() -> dict[int, str]:
 class _Known(dict):
     """Ids of words or parts of words, as bytes; one that isn't known is learned."""
 
-    def __init__(self, learn: Callable[[str], bytes]) -> None:
+    def __init__(self, learn: Callable[[str], bytes], remembered: int) -> None:
         super().__init__()
-        self.learn = learn
+        self.learn, self.remembered = learn, remembered
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.clear()
         ids = self.learn(word)
         if len(word) <= LONGEST:
@@ -54,7 +54,7 @@ class FastTokenizer:
     go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, width: str = "<u4") -> None:
+    def __init__(self, path: str, width: str = "<u4", remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel parts
         from tokenizers import Tokenizer
 
@@ -70,9 +70,9 @@ class FastTokenizer:
         self.space = self.letters[32] if self.keeps_space else ""
         self.newline = self.whole("\n")
         #: Ids of words as they stand between white space (those that begin a line with the line's end).
-        self.known = _Known(self.word)
+        self.known = _Known(self.word, remembered)
         #: Ids of stems and of punctuation, as the model takes them.
-        self.parts = _Known(self.part)
+        self.parts = _Known(self.part, remembered)
 
     def whole(self, text: str) -> bytes:
         return self.as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -98,8 +98,9 @@ class FastTokenizer:
         ids = stem if self.keeps_space else stem.lower()
         if not ascii_letters and not ids.isascii():
             ids = ids.encode().decode("latin-1").translate(self.letters)
-        ids = self.parts[space + ids]
-        return ids if len(stem) == len(word) else ids + self.parts[word[len(stem) :]]
+        if len(stem) == len(word):  # the word itself is remembered, so its stem needn't be
+            return self.parts.get(space + ids) or self.part(space + ids)
+        return self.parts[space + ids] + self.parts[word[len(stem) :]]
 
     def words(self, text: str) -> list[str] | None:
         """The text's words; None if it must be encoded whole."""
@@ -127,11 +128,11 @@ class FastTokenizer:
         return out
 
 
-_kept: dict[tuple[str, str], FastTokenizer] = {}
+_kept: dict[tuple[str, str, int], FastTokenizer] = {}
 
 
-def fast_tokenizer(path: str, width: str = "<u4") -> FastTokenizer:
+def fast_tokenizer(path: str, width: str = "<u4", remembered: int = REMEMBERED) -> FastTokenizer:
     """One of each kind in a Python worker."""
-    if (path, width) not in _kept:
-        _kept[path, width] = FastTokenizer(path, width)
-    return _kept[path, width]
+    if (path, width, remembered) not in _kept:
+        _kept[path, width, remembered] = FastTokenizer(path, width, remembered)
+    return _kept[path, width, remembered]

@@ -30,3 +30,15 @@ def test_texts_searched_together_get_what_they_get_alone():
     shuffled = rng.permutation(400)
     for i, (found, cosines) in zip(shuffled, index.neighbours([texts[i] for i in shuffled], known, 15), strict=True):
         assert found.tolist() == together[i][0].tolist() and cosines.tobytes() == together[i][1].tobytes()
+
+
+def test_words_without_punctuation_are_remembered_once():
+    import public_tokenizers
+
+    from siftloom.llm.words import FastTokenizer
+
+    for name, width in (("byte_bpe_50k.json", "<u2"), ("word_bpe_49k.json", "<u4")):
+        fast = FastTokenizer(public_tokenizers.path(name), width)
+        texts = ["lone words\nhere lone", "Mark, mark. Märk", "Mark mark", "lone, words."]
+        assert fast.encode(texts) == [fast.whole(t) for t in texts]
+        assert not any("ere" in p for p in fast.parts) and any("one" in p for p in fast.parts)
