@@ -25,8 +25,8 @@ from siftloom.session import materialize, scratch_root, table
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 #: Longest code in bits; ids between two checkpoints; ids after which a block ends.
 LIMIT, LANE, BLOCK = 16, 256, 1 << 16
-#: Words that a worker remembers.
-REMEMBERED = 500_000
+#: Words that a worker remembers. Texts, and characters of them, after which those read so far are encoded: the more, the fewer words are looked up.
+REMEMBERED, TEXTS, CHARACTERS = 500_000, 2048, 1 << 23
 #: Stands for a null key, before all others. Parts of the order of keys for each shuffle partition.
 NULL_KEY, PARTS = -(1 << 63), 4
 
@@ -114,10 +114,18 @@ def token_ids(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
 
     path, end = public_tokenizers.path(vocabulary), int(end_id).to_bytes(2, "little")
 
+    def encoded(texts: list[str]) -> pd.Series:
+        return pd.Series([x + end for x in fast_tokenizer(path, "<u2", REMEMBERED).encode(texts)], dtype=object)
+
     @F.pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        some: list[str] = []
         for texts in batches:
-            yield pd.Series([x + end for x in fast_tokenizer(path, "<u2", REMEMBERED).encode([t or "" for t in texts.where(texts.notna(), "")])])
+            some += [t or "" for t in texts.where(texts.notna(), "")]
+            if len(some) >= TEXTS or sum(map(len, some)) >= CHARACTERS:
+                yield encoded(some)
+                some = []
+        yield encoded(some)
 
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY)).alias(key), ids(F.col(text)).alias("ids")).select(key, (F.length("ids") / 2).cast("long").alias("n_tokens"), "ids")
 
