@@ -73,9 +73,14 @@ def measure(docs: DataFrame, common: DataFrame, text: str = "text", lang: str =
     rows = rows.select(
         *(c for c in rows.columns if not c.startswith("_t") and c not in ("t", "lines")),
         F.array(*classes, F.length(left)).alias("classes"), F.length("t").alias("n_chars"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        F.sort_array(F.arrays_zip(*(F.slice("words", k + 1, F.greatest(n - (WINDOW - 1), F.lit(0))).alias(f"w{k}") for k in range(WINDOW)), F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))).alias("at"))).alias("windows"),
+        F.transform(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))), lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(WINDOW)))).alias("hashes"),
         F.array_intersect("common", "words").alias("there"),
     )
+    # windows are sorted, by their hashes first, only where two hashes are equal; elsewhere no window is repeated
+    windows = F.arrays_zip(
+        "hashes", *(F.slice("words", k + 1, F.greatest(n - (WINDOW - 1), F.lit(0))).alias(f"w{k}") for k in range(WINDOW)), F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))).alias("at")
+    )
+    rows = rows.withColumn("windows", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.sort_array(windows))).drop("hashes")
 
     def same(i: Column) -> Column:
         """Whether the sorted window i equals the one before."""
@@ -96,7 +101,7 @@ def measure(docs: DataFrame, common: DataFrame, text: str = "text", lang: str =
     rows = rows.select(
         *(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "lang", "part", n.cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"), F.col(symbols).cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
-        repeated.cast("long").alias("n_repeat_words"), F.col("n_chars").cast("long").alias("n_chars"), "classes",
+        F.coalesce(repeated, F.lit(0)).cast("long").alias("n_repeat_words"), F.col("n_chars").cast("long").alias("n_chars"), "classes",
         F.when(F.col("common").isNotNull(), hits).alias("hits"),
     )
     others = F.col("n_words").cast("int") - F.aggregate("hits", F.lit(0), lambda a, b: a + b)
