@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,10 +70,10 @@ def portion(frames: DataFrame, folder: str, number: str, which: str) -> DataFram
     return joined.where(ok).drop("_third")
 
 
-def first_face(detections: DataFrame, score: float, ratio: float, items: DataFrame | None = None) -> DataFrame:
-    """The first detection of each item that has over this score and no edge over ``ratio`` times the other. Of ``items`` (item), if given, those without one stay, with nulls."""
+def first_face(detections: DataFrame, score: float, ratio: float, items: DataFrame | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """The first detection of each item, by ``det`` and then by ``ties``, that has over this score and no edge over ``ratio`` times the other. Of ``items`` (item), if given, those without one stay, with nulls."""
     w, h = F.col("r") - F.col("l"), F.col("b") - F.col("t")
     good = detections.where((F.col("score") > score) & (F.greatest(w, h) <= ratio * F.least(w, h)))
-    place = F.row_number().over(Window.partitionBy("item").orderBy("det"))
+    place = F.row_number().over(Window.partitionBy("item").orderBy("det", *ties))
     first = good.withColumn("_place", place).where("_place = 1").drop("_place")
     return first if items is None else items.select("item").join(first, "item", "left")

@@ -216,7 +216,9 @@ def min_size(spark, sf_dir):
 
 @query("first_face", f"with {V.BOXES}, g as (select *, row_number() over (partition by item order by det) as k from box where score > 0.2 and greatest(r - l, b - t) <= 2.0 * least(r - l, b - t)) select item, det, l, t, r, b from g where k = 1")
 def first_face(spark, sf_dir):
-    return R.first_face(V.boxes(spark, sf_dir), 0.2, 2.0).select("item", "det", "l", "t", "r", "b")
+    """Orders repeat line numbers: of lines of equal number the first one of the table counts."""
+    place = ["file_path", "row_index"]
+    return R.first_face(V.boxes(spark, sf_dir, *(f"_metadata.{c}" for c in place)), 0.2, 2.0, ties=place).select("item", "det", "l", "t", "r", "b")
 
 
 _DIMS = "(floor(l_extendedprice)::int % 900 + 100)", "(l_partkey::int % 700 + 100)"

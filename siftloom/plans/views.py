@@ -55,13 +55,13 @@ folder as (select r_name || '/' || n_name || '/' || c_mktsegment as path, count(
     join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1)"""
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of orders as detections in images of 1000 x 800: item, det (place), edges, score, kind."""
+def boxes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Lines of orders as detections in images of 1000 x 800: item, det (place), edges, score, kind, and ``more`` columns of the table."""
     left, top = F.floor(F.col("l_extendedprice")).cast("int") % 700, F.col("l_partkey").cast("int") % 500
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("det"), left.alias("l"), top.alias("t"),
         (left + F.col("l_quantity").cast("int") * 4 + 10).alias("r"), (top + F.col("l_suppkey").cast("int") % 200 + 20).alias("b"),
-        (F.rint(F.col("l_discount") * 100) / 10).alias("score"), F.col("l_linestatus").alias("kind"),
+        (F.rint(F.col("l_discount") * 100) / 10).alias("score"), F.col("l_linestatus").alias("kind"), *more,
     )
 
 
