@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siftloom.operators import cluster as K
 from siftloom.operators import similar as S
 from siftloom.operators.fields import inherit_presence, merge_references
+from siftloom.operators.near import Near
 from siftloom.operators.select import fair_share
 from siftloom.session import _folder, materialize
 
@@ -74,8 +75,8 @@ def classify(
     spark = vectors.sparkSession
     v = Versions(spark, folder)
     rows = v.step("vectors", lambda: vectors.select("item", "vec"))
-    edges = v.step("edges", lambda: S.similar_pairs(rows, 1 - max(at.same, at.reach)))
-    same = edges.where(F.col("cos") > 1 - at.same)
+    # pairs are counted anew where they are needed: their list grows with the square of the rows
+    same = Near(rows, 1 - at.same)
 
     # characters: those known, then references'
     names = "label long, character string"
@@ -101,8 +102,7 @@ def classify(
         return K.rescue_noise(labels, groups, shown, at.share, at.count, by_reference=near, n_known=None if shown is None else n_named)
 
     def clusters() -> DataFrame:
-        near = edges.where(F.col("cos") > 1 - at.reach)
-        found = K.density_clusters(rows.select("item"), near, at.min_samples)
+        found = K.density_clusters(rows.select("item"), Near(rows, 1 - at.reach), at.min_samples)
         return found.select("item", F.when(F.col("label") >= 0, F.col("label") + n_named).otherwise(-1).cast("long").alias("label"), F.lit("cluster").alias("came"))
 
     labels = v.step("clusters", clusters)

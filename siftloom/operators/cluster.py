@@ -1,6 +1,7 @@
 """Density clusters of vectors, their labels by references and metadata, and label clean-up.
 
 Everything works on long tables: edges (src, dst, cos), labels (item, label; -1 is noise), known (item, character).
+In place of edges there may be a ``Near``, which counts them where vectors are compared, so that no list of them is stored.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftloom.operators.graph import connected_components
+from siftloom.operators.near import Near
 from siftloom.operators.ranks import number_rows
 from siftloom.session import Scratch, materialize
 
@@ -17,12 +19,30 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
-def density_clusters(items: DataFrame, edges: DataFrame, min_samples: int = 5, item: str = "item") -> DataFrame:
+def group_counts(edges: DataFrame | Near, groups: DataFrame, group: str) -> DataFrame:
+    """(a, b, n): edges between items of each two groups, of ``groups`` (item, group); either of two groups may be a."""
+    if isinstance(edges, Near):
+        return edges.counts(groups, group)
+    ends = groups.select("item", group)
+    return edges.join(ends.toDF("src", "a"), "src").join(ends.toDF("dst", "b"), "dst").groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+def density_clusters(items: DataFrame, edges: DataFrame | Near, min_samples: int = 5, item: str = "item") -> DataFrame:
     """(item, label): clusters of core rows, those with ``min_samples`` rows in reach, themselves included, and rows in reach of one.
 
     A label is the smallest core row of its cluster; a border row takes the smallest label in reach;
     other rows are noise, -1. The reach is a fixed distance, not one for each cluster.
     """
+    if isinstance(edges, Near):
+        scratch = Scratch(items.sparkSession)
+        found = scratch.store(edges.degrees(), "degrees").select("item", (F.col("n") >= min_samples - 1).alias("dense"))
+        of_core = scratch.store(edges.components(found.where("dense"), scratch).select("item", F.col("component").alias("label")), "core")
+        # rows without a pair are in reach of none
+        reached = edges.least_of(found.where("not dense"), of_core).select("item", F.col("reach").alias("label"))
+        rows = items.select(F.col(item).alias("item")).join(of_core.unionByName(reached), "item", "left")
+        out = materialize(rows.select(F.col("item").alias(item), F.coalesce("label", F.lit(-1)).cast("long").alias("label")), "clusters")
+        scratch.free()
+        return out
     near = both_ways(edges)
     core = materialize(near.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") >= min_samples - 1).select(F.col("src").alias("core")), "core")
     inner = edges.join(core.withColumnRenamed("core", "src"), "src").join(core.withColumnRenamed("core", "dst"), "dst").select("src", "dst")
@@ -33,21 +53,19 @@ def density_clusters(items: DataFrame, edges: DataFrame, min_samples: int = 5, i
     return rows.select(F.col("item").alias(item), F.coalesce("label", "reach", F.lit(-1)).cast("long").alias("label"))
 
 
-def affinity(edges: DataFrame, labels: DataFrame) -> DataFrame:
+def affinity(edges: DataFrame | Near, labels: DataFrame) -> DataFrame:
     """(x, y, n_same, size_x, size_y, score), x < y: share of pairs across two clusters that have an edge."""
     named = labels.where("label >= 0")
     sizes = named.groupBy("label").agg(F.count("*").alias("size"))
-    a = named.select(F.col("item").alias("src"), F.col("label").alias("la"))
-    b = named.select(F.col("item").alias("dst"), F.col("label").alias("lb"))
-    cross = edges.join(a, "src").join(b, "dst").where("la <> lb").select(F.least("la", "lb").alias("x"), F.greatest("la", "lb").alias("y"))
-    n = cross.groupBy("x", "y").agg(F.count("*").alias("n_same"))
+    cross = group_counts(edges, named, "label").where("a <> b").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "n")
+    n = cross.groupBy("x", "y").agg(F.sum("n").alias("n_same"))
     return (
         n.join(sizes.select(F.col("label").alias("x"), F.col("size").alias("size_x")), "x").join(sizes.select(F.col("label").alias("y"), F.col("size").alias("size_y")), "y")
         .withColumn("score", F.col("n_same") / (F.col("size_x") * F.col("size_y"))).select("x", "y", "n_same", "size_x", "size_y", "score")
     )
 
 
-def merge_clusters(edges: DataFrame, labels: DataFrame, threshold: float, first: int = 0, known: DataFrame | None = None, n_known: int = 0, least: int = 0) -> DataFrame:
+def merge_clusters(edges: DataFrame | Near, labels: DataFrame, threshold: float, first: int = 0, known: DataFrame | None = None, n_known: int = 0, least: int = 0) -> DataFrame:
     """(item, label) after greedy merging: in passes over x < y in order, y joins x if the share of their pairs with an edge reaches the threshold.
 
     x is at least ``least``, y at least ``first``. With ``known`` (item, character) and x under ``n_known``, only items of y that are known to
@@ -72,11 +90,11 @@ def merge_clusters(edges: DataFrame, labels: DataFrame, threshold: float, first:
     items = scratch.store(marked.withColumn("part", part), "items")
     live = items.where("label >= 0")
     parts = scratch.store(live.groupBy("part", "label", "shows").agg(F.count("*").alias("size")), "parts")
-    ends = live.select("item", "part", "label")
-    both = edges.join(ends.toDF("src", "a", "la"), "src").join(ends.toDF("dst", "b", "lb"), "dst").where("la <> lb")
-    flipped = F.col("la") > F.col("lb")
-    counts = both.groupBy(*(F.when(flipped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a")))).agg(F.count("*").alias("n"))
     sized = parts.select("part", "label", "size")
+    of_part = parts.select("part", "label")
+    both = group_counts(edges, live.select("item", "part"), "part").join(of_part.toDF("a", "la"), "a").join(of_part.toDF("b", "lb"), "b").where("la <> lb")
+    flipped = F.col("la") > F.col("lb")
+    counts = both.groupBy(*(F.when(flipped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a")))).agg(F.sum("n").alias("n"))
     counts = scratch.store(counts.join(sized.toDF("a", "la", "na"), "a").join(sized.toDF("b", "lb", "nb"), "b"), "counts")
     strong = connected_components(counts.where(F.col("n") / (F.col("na") * F.col("nb")) >= threshold), "la", "lb", scratch)
     of_label = scratch.store(strong.select(F.col("id").alias("label"), "component"), "components")
@@ -198,11 +216,14 @@ def rescue_noise(
     return out.select("item", F.when(F.col("label") >= 0, F.col("label")).otherwise(F.coalesce("found", "only", F.lit(-1))).cast("long").alias("label"))
 
 
-def filter_labels(labels: DataFrame, edges: DataFrame, least_share: float, least_count: int) -> DataFrame:
+def filter_labels(labels: DataFrame, edges: DataFrame | Near, least_share: float, least_count: int) -> DataFrame:
     """(item, label): a label stays if enough of its members, the row itself included, have an edge to the row; else -1."""
-    a = labels.select(F.col("item").alias("src"), F.col("label").alias("la"))
-    b = labels.select(F.col("item").alias("dst"), F.col("label").alias("lb"))
-    n = both_ways(edges).join(a, "src").join(b, "dst").where("la = lb").groupBy("src").agg(F.count("*").alias("n"))
+    if isinstance(edges, Near):
+        n = edges.degrees(labels).withColumnRenamed("item", "src")
+    else:
+        a = labels.select(F.col("item").alias("src"), F.col("label").alias("la"))
+        b = labels.select(F.col("item").alias("dst"), F.col("label").alias("lb"))
+        n = both_ways(edges).join(a, "src").join(b, "dst").where("la = lb").groupBy("src").agg(F.count("*").alias("n"))
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     rows = labels.join(n, labels["item"] == n["src"], "left").join(sizes, "label").withColumn("n", F.coalesce("n", F.lit(0)) + 1)
     ok = (F.col("label") >= 0) & ((F.col("n") / F.col("size") >= least_share) | (F.col("n") >= least_count))

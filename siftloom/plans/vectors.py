@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siftloom.operators import cluster as K
 from siftloom.operators import similar as S
+from siftloom.operators.near import Near
 from siftloom.session import materialize, table
 
 QUERIES, SQL = {}, {}
@@ -64,12 +65,12 @@ w as (select 0::bigint as k, []::bigint[] as kept union all
     select o.k, case when list_has_any(coalesce(before, []), kept) then kept else list_append(kept, o.item) end from w join o on o.k = w.k + 1)
 select unnest(kept) as item from w where k = (select count(*) from vec)""")
 def near_dup_keep(spark, sf_dir):
-    v = vectors(spark, sf_dir)
-    return S.keep_first(v.select("item"), S.similar_pairs(v, REACH))
+    return _edges(spark, sf_dir).keep_first(vectors(spark, sf_dir).select("item"))
 
 
 def _edges(spark, sf_dir):
-    return materialize(S.similar_pairs(vectors(spark, sf_dir), REACH), "edges")
+    """Never listed: their number grows with the square of the rows'."""
+    return Near(vectors(spark, sf_dir), REACH)
 
 
 def _labels(spark, sf_dir, edges):
